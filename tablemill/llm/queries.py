@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tablemill.llm import chat, decontam, licenses, packing, warc
+from tablemill.llm import chat, decontam, licenses, linededup, packing, pii, warc
 
 QUERIES = {
+    "op1_pii": pii.op1,
+    "op2_line_dedup": linededup.op2,
     "op4_decontamination": decontam.op4,
     "op6_packing": packing.op6,
     "op7_warc": warc.op7,
     "op8_chat": chat.op8,
     "op9_licenses": licenses.op9,
 }
-SQL = {"op4_decontamination": decontam.SQL, "op7_warc": warc.SQL, "op8_chat": chat.SQL}
+SQL = {"op2_line_dedup": linededup.SQL, "op4_decontamination": decontam.SQL, "op7_warc": warc.SQL, "op8_chat": chat.SQL}
