@@ -182,7 +182,8 @@ def confirm(pairs: DataFrame, docs: DataFrame, words: Callable, size: int, perce
 
 
 def across(shared: DataFrame, labels: DataFrame, reps: DataFrame, percent: int, tile: int = TILE) -> DataFrame:
-    """Pairs within DISTANCE that share a key but no component yet. Each key's texts are dealt in tiles."""
+    """Pairs within DISTANCE that share a key but no component yet, with n of both. Each key's texts are dealt in tiles;
+    a pair that shares several keys is met at the first of them only."""
     at = lambda c, to: labels.select(F.col("node").alias(c), F.col("component").alias(to))
     known = shared.join(at("doc", "c"), "doc", "left").withColumn("c", F.coalesce("c", "doc"))
     known = known.join(at("center", "cc"), "center", "left").withColumn("cc", F.coalesce("cc", "center"))
@@ -193,16 +194,18 @@ def across(shared: DataFrame, labels: DataFrame, reps: DataFrame, percent: int,
     dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc", "c", "n", "sig")
     together = dealt.repartition(F.col("key"), F.col("i"), F.col("j")).sortWithinPartitions("key", "i", "j", "doc")
 
-    def compare(own, doc, c, n, sig, i: int, j: int) -> Iterator[pa.RecordBatch]:
+    def compare(own, doc, c, n, sig, group: tuple) -> Iterator[pa.RecordBatch]:
+        slots = keys(sig)
         for at in range(len(doc) - 1):
             later = slice(at + 1, None)
             ok = (c[later] != c[at]) & may_match(n[later], n[at], percent)
-            if i != j:
+            if group[1] != group[2]:
                 ok &= own[later] != own[at]
             found = np.flatnonzero(ok) + at + 1
             found = found[close(sig[found], sig[at])]
+            found = found[slots[at][(slots[found] == slots[at]).argmax(axis=1)] == group[0]]
             if len(found):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), doc[at])), pa.array(doc[found])], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), doc[at])), pa.array(doc[found]), pa.array(np.full(len(found), n[at])), pa.array(n[found])], names=["a", "b", "na", "nb"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -211,7 +214,7 @@ def across(shared: DataFrame, labels: DataFrame, reps: DataFrame, percent: int,
         def done():
             if held:
                 t = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                yield from compare(t["own"].to_numpy(), t["doc"].to_numpy(), t["c"].to_numpy(), t["n"].to_numpy(), _signatures(t["sig"]), key[1], key[2])
+                yield from compare(t["own"].to_numpy(), t["doc"].to_numpy(), t["c"].to_numpy(), t["n"].to_numpy(), _signatures(t["sig"]), key)
 
         for b in batches:
             k = np.stack([b.column(x).to_numpy().astype(np.int64) for x in ("key", "i", "j")], axis=1)
@@ -224,7 +227,7 @@ def across(shared: DataFrame, labels: DataFrame, reps: DataFrame, percent: int,
                     held.append(b.slice(s, e - s))
         yield from done()
 
-    return together.mapInArrow(run, "a long, b long").distinct()
+    return together.mapInArrow(run, "a long, b long, na long, nb long")
 
 
 def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text", shingle_words: int = 5, percent: int = 80, words: Callable = ascii_words) -> DataFrame:
@@ -246,7 +249,7 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     near = scratch.table(within(stars, stand, percent), "stars")
     links = scratch.table(confirm(near, own, words, shingle_words, percent), "star-links")
     labels = scratch.table(components(links, scratch, "first"), "labels")
-    rest = scratch.table(within(across(shared, labels, stand, percent), stand, percent), "rest")
+    rest = scratch.table(across(shared, labels, stand, percent), "rest")
     more = confirm(rest, own, words, shingle_words, percent)
     # copies of one set meet at their representative
     copies = every.join(reps.where("rep <> last").select("whole", "rep"), "whole").where("doc <> rep").select(F.col("rep").alias("a"), F.col("doc").alias("b"))
