@@ -1 +1 @@
-
+"""Registries, readers and fetchers."""
