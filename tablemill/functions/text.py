@@ -14,9 +14,10 @@ _NAME = re.compile(r"\{(\w+)\}")
 def fmt_bytes(c: Column) -> Column:
     """FUN-16: 1024-based, one decimal."""
     x = c.cast("double")
-    out = F.format_string("%.1f TB", x / 1024.0**4)
+    shown = lambda power, unit: F.format_string(f"%.1f {unit}", F.bround(x / 1024.0**power, 1))  # noqa: E731  halves to even
+    out = shown(4, "TB")
     for power, unit in ((3, "GB"), (2, "MB"), (1, "KB"), (0, "B")):
-        out = F.when(x < 1024.0 ** (power + 1), F.format_string(f"%.1f {unit}", x / 1024.0**power)).otherwise(out)
+        out = F.when(x < 1024.0 ** (power + 1), shown(power, unit)).otherwise(out)
     return F.when(x.isNotNull(), out)
 
 

@@ -29,7 +29,7 @@ def closure(spark, edges: DataFrame, start: str) -> DataFrame:
     edges.createOrReplaceTempView("closure_edges")
     return spark.sql(
         """WITH RECURSIVE r(node, depth) AS (
-             SELECT :start, 0 UNION SELECT e.dst, r.depth + 1 FROM r JOIN closure_edges e ON e.src = r.node WHERE r.depth < 20)
+             SELECT :start, 0 UNION ALL SELECT e.dst, r.depth + 1 FROM r JOIN closure_edges e ON e.src = r.node WHERE r.depth < 20)
            SELECT node, CAST(min(depth) AS INT) AS depth FROM r GROUP BY node""",
         args={"start": start},
     )
@@ -136,7 +136,7 @@ def worst(states: DataFrame) -> DataFrame:
 
 def badges(columns: DataFrame, keys: DataFrame) -> DataFrame:
     """JOIN-16: whether a column is in the primary key or in a foreign key."""
-    return columns.join(keys, ["db", "tbl"], "left").select("db", "tbl", "col", F.coalesce(F.array_contains("pk", F.col("col")), F.lit(False)).alias("is_pk"), F.coalesce(F.array_contains("fk", F.col("col")), F.lit(False)).alias("is_fk"))
+    return columns.select("db", "tbl", "col").join(keys, ["db", "tbl"], "left").select("db", "tbl", "col", F.coalesce(F.array_contains("pk", F.col("col")), F.lit(False)).alias("is_pk"), F.coalesce(F.array_contains("fk", F.col("col")), F.lit(False)).alias("is_fk"))
 
 
 def annotate(old: DataFrame, new: DataFrame, at: str) -> DataFrame:
