@@ -17,6 +17,7 @@ further columns pass through, and result columns whose name is taken get a leadi
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -115,11 +116,11 @@ _built: dict = {}
 
 def _tables(block, size: int) -> list[WuManber]:
     """One block's searchers, built once in each Python worker; an older block's make room."""
-    key = (block.id if hasattr(block, "id") else id(block), size)
-    if key not in _built:
+    name, items = block.value
+    if (name, size) not in _built:
         _built.clear()
-        _built[key] = searchers(block.value, size)
-    return _built[key]
+        _built[name, size] = searchers(items, size)
+    return _built[name, size]
 
 
 def blocks(bench: DataFrame, item: str, text: str, most: int) -> Iterator[list[tuple[str | None, str | None]]]:
@@ -140,7 +141,7 @@ def find(docs: DataFrame, bench: DataFrame, *, text: str = "text", item: str = "
     spark = docs.sparkSession
     scratch, name, out = Scratch(spark, "decontam"), free_name(docs.columns, "found"), None
     for k, block in enumerate(blocks(bench, item, item_text, block_bytes)):
-        held = spark.sparkContext.broadcast(block)
+        held = spark.sparkContext.broadcast((uuid.uuid4().hex, block))
         if out is None:
             out = append(docs, text, [T.StructField(name, FOUND)], lambda col, held=held: [pa.array([search(x, _tables(held, size)) for x in col.to_pylist()], _ARROW)])
             continue
