@@ -5,6 +5,9 @@ Signatures are split into PLACES / CHUNK chunks. If two differ in at most DISTAN
 principle some chunk differs in at most ERRORS places, so both texts emit the same key for the chunk with those places
 left out: every text emits a key for each way to leave ERRORS places out of each chunk. All pairs within DISTANCE are
 met; at a similarity of exactly 0.8, one pair in some hundred thousand is beyond it. Met pairs are confirmed on the full sets.
+Before a pair leaves the task that met it, an upper bound of its intersection must allow the similarity: a text carries a
+16-bit print of every shingle, so a common shingle is always a common print. Of sets above PRINTS shingles, the prints of
+one half, quarter, ... of the hash range, the same for all texts, stand for the rest, with SPREAD standard deviations of leeway.
 
 Groups of copies are never expanded into pairs. Equal sets become one representative first. Texts that share a key are
 linked to the smallest of them, those links are confirmed and joined to components, and only then are further pairs of
@@ -37,6 +40,7 @@ _MULTIPLY = _rng.integers(1, 2**63, PLACES, dtype=np.uint64) * np.uint64(2) + np
 _ADD = _rng.integers(0, 2**63, PLACES, dtype=np.uint64)
 _MASKS = [m for m in combinations(range(CHUNK), CHUNK - ERRORS)]
 WORDS_KEPT = 200_000
+PRINTS, SPREAD = 256, 5.0
 
 _hashes: dict[bytes, int] = {}
 
@@ -79,6 +83,52 @@ def signature(s: np.ndarray) -> bytes:
     return (mix(low) >> np.uint64(48)).astype("<u2").tobytes()
 
 
+def level(n: np.ndarray) -> np.ndarray:
+    """Sets of n shingles keep the prints of a 2 ** -level part of the hash range. Sizes that can match differ by one at most."""
+    return np.ceil(np.log2(np.maximum(np.asarray(n) / PRINTS, 1))).astype(np.int64)
+
+
+def prints(s: np.ndarray) -> bytes:
+    """How many prints the next level keeps, then the set's prints, those first; 16 bits each."""
+    h = mix(s ^ np.uint64(0x5851F42D4C957F2D))
+    k = int(level(len(s)))
+    h = h[h >> np.uint64(64 - k) == 0] if k else h
+    deep = h >> np.uint64(63 - k) == 0
+    low = np.concatenate([h[deep], h[~deep]]) & np.uint64(0xFFFF)
+    return np.concatenate([[np.uint64(deep.sum())], low]).astype("<u2").tobytes()
+
+
+class Prints:
+    """The prints of a tile's texts, for bounds of one text's intersections with many."""
+
+    def __init__(self, col: pa.Array, n: np.ndarray, percent: int):
+        rows = [np.frombuffer(x, "<u2") for x in col.to_pylist()]
+        self.n, self.level, self.percent = n, level(n), percent
+        self.deep, self.all = np.array([r[0] for r in rows], np.int64), np.array([len(r) - 1 for r in rows], np.int64)
+        self.of = np.full((len(rows), max(1, self.all.max())), 0x10000, np.int32)  # no text has this print
+        for k, r in enumerate(rows):
+            self.of[k, : len(r) - 1] = r[1:]
+        self.mark = np.zeros(0x10001, bool)
+
+    def allow(self, at: int, others: np.ndarray) -> np.ndarray:
+        """Those of the others whose similarity with text `at` can reach percent."""
+        out = []
+        for part in (others[k : k + 1024] for k in range(0, len(others), 1024)):
+            for top in (self.level[at], self.level[at] + 1):
+                use = part[np.maximum(self.level[part], self.level[at]) == top]
+                if not len(use):
+                    continue
+                mine = self.of[at, : self.all[at] if self.level[at] == top else self.deep[at]]
+                size = np.where(self.level[use] == top, self.all[use], self.deep[use])
+                self.mark[mine] = True
+                common = (self.mark[self.of[use]] & (np.arange(self.of.shape[1]) < size[:, None])).sum(axis=1)
+                self.mark[mine] = False
+                union = np.maximum(len(mine) + size - common, 0)
+                slack = SPREAD * np.sqrt(union * self.percent * (100 - self.percent)) if top else 0
+                out.append(use[100 * common >= self.percent * union - slack])
+        return np.sort(np.concatenate(out)) if out else others[:0]
+
+
 def keys(sig: np.ndarray) -> np.ndarray:
     """Of n signatures (n x PLACES), the keys (n x CHUNKS * masks) as signed 64-bit numbers."""
     out = []
@@ -92,7 +142,7 @@ def keys(sig: np.ndarray) -> np.ndarray:
 
 
 def sets(docs: DataFrame, words: Callable, size: int) -> DataFrame:
-    """docs has key and text; n, two halves of the set's hash, and the signature."""
+    """docs has key and text; n, the set's hash, the signature and the prints."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -101,10 +151,10 @@ def sets(docs: DataFrame, words: Callable, size: int) -> DataFrame:
                 found = [shingles(words(t), size) for t in part.column(1).to_pylist()]
                 whole = [xxhash.xxh3_128_digest(s.tobytes()) for s in found]
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(whole, pa.binary()), pa.array([signature(s) for s in found], pa.binary()),
-                ], names=["doc", "n", "whole", "sig"])
+                    part.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(whole, pa.binary()), pa.array([signature(s) for s in found], pa.binary()), pa.array([prints(s) for s in found], pa.binary()),
+                ], names=["doc", "n", "whole", "sig", "prints"])
 
-    return docs.mapInArrow(run, "doc long, n long, whole binary, sig binary")
+    return docs.mapInArrow(run, "doc long, n long, whole binary, sig binary, prints binary")
 
 
 def _signatures(col: pa.Array) -> np.ndarray:
@@ -182,19 +232,19 @@ def confirm(pairs: DataFrame, docs: DataFrame, words: Callable, size: int, perce
 
 
 def across(shared: DataFrame, labels: DataFrame, reps: DataFrame, percent: int, tile: int = TILE) -> DataFrame:
-    """Pairs within DISTANCE that share a key but no component yet, with n of both. Each key's texts are dealt in tiles;
-    a pair that shares several keys is met at the first of them only."""
+    """Pairs within DISTANCE that share a key but no component yet and whose prints allow a match, with n of both. Each
+    key's texts are dealt in tiles; a pair that shares several keys is met at the first of them only."""
     at = lambda c, to: labels.select(F.col("node").alias(c), F.col("component").alias(to))
     known = shared.join(at("doc", "c"), "doc", "left").withColumn("c", F.coalesce("c", "doc"))
     known = known.join(at("center", "cc"), "center", "left").withColumn("cc", F.coalesce("cc", "center"))
     mixed = known.groupBy("key").agg(F.count("*").alias("size"), F.max((F.col("c") != F.col("cc")).cast("int")).alias("mixed")).where("mixed = 1").select("key", "size")
-    rows = known.select("key", "doc", "c").join(mixed, "key").join(reps.select("doc", "n", "sig"), "doc")
+    rows = known.select("key", "doc", "c").join(mixed, "key").join(reps.select("doc", "n", "sig", "prints"), "doc")
     tiles = F.expr(f"cast(ceil(size / {tile}) as int)")
     own = rows.withColumn("tiles", tiles).withColumn("own", F.expr("pmod(xxhash64(doc), tiles)").cast("int"))
-    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc", "c", "n", "sig")
+    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc", "c", "n", "sig", "prints")
     together = dealt.repartition(F.col("key"), F.col("i"), F.col("j")).sortWithinPartitions("key", "i", "j", "doc")
 
-    def compare(own, doc, c, n, sig, group: tuple) -> Iterator[pa.RecordBatch]:
+    def compare(own, doc, c, n, sig, bound: Prints, group: tuple) -> Iterator[pa.RecordBatch]:
         slots = keys(sig)
         for at in range(len(doc) - 1):
             later = slice(at + 1, None)
@@ -204,6 +254,7 @@ def across(shared: DataFrame, labels: DataFrame, reps: DataFrame, percent: int,
             found = np.flatnonzero(ok) + at + 1
             found = found[close(sig[found], sig[at])]
             found = found[slots[at][(slots[found] == slots[at]).argmax(axis=1)] == group[0]]
+            found = bound.allow(at, found)
             if len(found):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), doc[at])), pa.array(doc[found]), pa.array(np.full(len(found), n[at])), pa.array(n[found])], names=["a", "b", "na", "nb"])
 
@@ -214,7 +265,8 @@ def across(shared: DataFrame, labels: DataFrame, reps: DataFrame, percent: int,
         def done():
             if held:
                 t = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                yield from compare(t["own"].to_numpy(), t["doc"].to_numpy(), t["c"].to_numpy(), t["n"].to_numpy(), _signatures(t["sig"]), key)
+                n = t["n"].to_numpy()
+                yield from compare(t["own"].to_numpy(), t["doc"].to_numpy(), t["c"].to_numpy(), n, _signatures(t["sig"]), Prints(t["prints"], n, percent), key)
 
         for b in batches:
             k = np.stack([b.column(x).to_numpy().astype(np.int64) for x in ("key", "i", "j")], axis=1)
@@ -241,9 +293,9 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     scratch = Scratch(docs.sparkSession, "neardup")
     own = docs.select(F.col(id).cast("long").alias("key"), F.col(text).alias("text"))
     every = scratch.table(sets(own, words, shingle_words), "sets")
-    first = every.where("doc IS NOT NULL AND n > 0").groupBy("whole").agg(F.min("doc").alias("rep"), F.max("doc").alias("last"), F.min("n").alias("n"), F.min("sig").alias("sig"))
+    first = every.where("doc IS NOT NULL AND n > 0").groupBy("whole").agg(F.min("doc").alias("rep"), F.max("doc").alias("last"), F.min("n").alias("n"), F.min("sig").alias("sig"), F.min("prints").alias("prints"))
     reps = scratch.table(first, "reps")
-    stand = reps.select(F.col("rep").alias("doc"), "n", "sig")
+    stand = reps.select(F.col("rep").alias("doc"), "n", "sig", "prints")
     shared = scratch.table(shared_keys(stand), "keys")
     stars = shared.where("doc <> center").select(F.col("center").alias("a"), F.col("doc").alias("b")).distinct()
     near = scratch.table(within(stars, stand, percent), "stars")
