@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+MAP_BITS = 2**26  # 8 MB
 _KEEP = bytes(
     c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A else 0x20
     for c in range(256)
@@ -98,5 +99,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def maybe(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """The rows of docs whose key is a doc of named, and by chance some others, without a shuffle of docs: a bit map of
+    MAP_BITS bits, whatever the number of names, is broadcast. Where it is full, more rows pass; the caller's join drops them."""
+    bit = lambda c: F.pmod(F.xxhash64(F.lit(5), c), F.lit(MAP_BITS))
+    slots = named.select(bit("doc").alias("bit")).select(F.expr("bitmap_bucket_number(bit)").alias("bucket"), F.expr("bitmap_bit_position(bit)").alias("at"))
+    maps = slots.groupBy("bucket").agg(F.expr("bitmap_construct_agg(at)").alias("map"))
+    own = docs.withColumn("bit", bit("key")).select(*docs.columns, F.expr("bitmap_bucket_number(bit)").alias("bucket"), F.expr("cast(bitmap_bit_position(bit) as int)").alias("at"))
+    byte = "cast(conv(hex(substring(map, at div 8 + 1, 1)), 16, 10) as int)"
+    return own.join(F.broadcast(maps), "bucket").where(F.expr(f"(shiftright({byte}, cast(at % 8 as int)) & 1) = 1")).select(*docs.columns)
+
+
 def empty(df: DataFrame) -> bool:
     return df.select(F.lit(1)).limit(1).count() == 0

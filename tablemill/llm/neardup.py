@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablemill.llm.common import Scratch
+from tablemill.llm.common import Scratch, maybe
 from tablemill.llm.components import components
 
 PLACES, CHUNK, ERRORS = 48, 4, 1
@@ -41,7 +41,6 @@ _ADD = _rng.integers(0, 2**63, PLACES, dtype=np.uint64)
 _MASKS = [m for m in combinations(range(CHUNK), CHUNK - ERRORS)]
 WORDS_KEPT = 200_000
 PRINTS, SPREAD = 256, 5.0
-BITS = 2**26  # 8 MB
 
 _hashes: dict[bytes, int] = {}
 
@@ -215,17 +214,6 @@ def within(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "siga", "sigb").mapInArrow(run, "a long, b long, na long, nb long")
 
 
-def maybe(docs: DataFrame, named: DataFrame) -> DataFrame:
-    """key and text of the documents named, and by chance of some others, without a shuffle of texts: a bit map of
-    BITS bits, whatever the number of names, is broadcast. Where it is full, more texts pass; the joins drop them."""
-    bit = lambda c: F.pmod(F.xxhash64(F.lit(5), c), F.lit(BITS))
-    slots = named.select(bit("doc").alias("bit")).select(F.expr("bitmap_bucket_number(bit)").alias("bucket"), F.expr("bitmap_bit_position(bit)").alias("at"))
-    maps = slots.groupBy("bucket").agg(F.expr("bitmap_construct_agg(at)").alias("map"))
-    own = docs.withColumn("bit", bit("key")).select("key", "text", F.expr("bitmap_bucket_number(bit)").alias("bucket"), F.expr("cast(bitmap_bit_position(bit) as int)").alias("at"))
-    byte = "cast(conv(hex(substring(map, at div 8 + 1, 1)), 16, 10) as int)"
-    return own.join(F.broadcast(maps), "bucket").where(F.expr(f"(shiftright({byte}, cast(at % 8 as int)) & 1) = 1")).select("key", "text")
-
-
 def confirm(pairs: DataFrame, docs: DataFrame, words: Callable, size: int, percent: int) -> DataFrame:
     """The pairs with 100 * intersection >= percent * union, on the full sets of only the texts they name."""
 

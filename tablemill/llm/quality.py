@@ -1,13 +1,15 @@
 """Quality by perplexity: an interpolated modified Kneser-Ney n-gram model of characters, trained on trusted text.
 
 Counts of the highest order come from all trusted texts, summed within tasks before they are exchanged; the lower
-orders' continuation counts, the discounts (by language and order, from the counts of counts), the interpolated
-probabilities and the back-off weights are joins and aggregates of count tables, which grow with the corpus far more
-slowly than its text.
+orders' continuation counts come from the same exchange, as each gram is sent along with its shorter endings. The
+counts, which grow with the corpus far more slowly than its text, are one table.
 
 Scoring joins documents with the model shard by shard: a shard holds languages, or a part of one language's contexts
-(by the context's last character), of at most SHARD entries, so what is broadcast has a bound at any size of model; a
-document's log probability is the sum over the shards. Most models are one shard and cost one pass without a shuffle.
+(by the context's last character), of at most SHARD grams, so what is broadcast has a bound at any size of model. All
+that a gram's probability needs (its context, its shorter endings) is in its shard, so a shard's interpolated
+probabilities and back-off weights come from its counts and its languages' discounts (by language and order, from the
+counts of counts over all shards). A document's log probability is the sum over the shards. Most models are one shard
+and cost one pass without a shuffle.
 
 A document is rejected if its perplexity (per character) lies outside a band around its language's quantiles among
 trusted documents: above the upper quantile, or below the lower one, by more than `slack` of the spread between them.
@@ -22,15 +24,17 @@ untrusted; empty tables give no rows or keep all; further columns pass through i
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablemill.llm.common import Scratch, append, free_name, read
+from tablemill.llm.common import Scratch, append, free_name, maybe, read
 
 ORDER, BITS = 5, 12
 SHARD = 3_000_000
@@ -59,15 +63,22 @@ def _merge(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -
 
 
 def counts(trusted: DataFrame, order: int = ORDER, held: int = 1_000_000) -> DataFrame:
-    """trusted has lang and text; lang, g, c. A task sums what it can hold before it hands on."""
+    """trusted has lang and text; lang, k, g, c: the grams of the highest order with their counts, and each ending of
+    theirs of k symbols with 0. A task sums what it can hold before it hands on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
         def out():
             for lang, (g, c) in mine.items():
-                for at in range(0, len(g), 50_000):
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g[at : at + 50_000]), pa.string()), pa.array(g[at : at + 50_000]), pa.array(c[at : at + 50_000])], names=["lang", "g", "c"])
+                for k in range(order, 0, -1):
+                    if k < order:
+                        g = np.unique(g & ((1 << BITS * k) - 1))
+                        c = np.zeros(len(g), np.int64)
+                    for at in range(0, len(g), 50_000):
+                        n = len(g[at : at + 50_000])
+                        cols = [pa.repeat(pa.scalar(lang, pa.string()), n), pa.repeat(pa.scalar(k, pa.int32()), n), pa.array(g[at : at + n]), pa.array(c[at : at + n])]
+                        yield pa.RecordBatch.from_arrays(cols, names=["lang", "k", "g", "c"])
             mine.clear()
 
         for b in batches:
@@ -83,57 +94,54 @@ def counts(trusted: DataFrame, order: int = ORDER, held: int = 1_000_000) -> Dat
                 yield from out()
         yield from out()
 
-    return trusted.mapInArrow(run, "lang string, g long, c long").groupBy("lang", "g").agg(F.sum("c").alias("c"))
+    return trusted.mapInArrow(run, "lang string, k int, g long, c long").groupBy("lang", "k", "g").agg(F.sum("c").alias("c"))
 
 
-def discounts(t: DataFrame) -> DataFrame:
-    """lang, d1, d2, d3 of one order; 0.5, 1 and 1.5 where the counts of counts are too few to tell."""
-    n = t.groupBy("lang").agg(*[F.count_if(F.col("c") == k).alias(f"n{k}") for k in (1, 2, 3, 4)])
-    n = n.withColumn("y", F.expr("n1 / nullif(n1 + 2 * n2, 0)"))
-    at = lambda k: F.expr(f"least(greatest(coalesce({k} - {k + 1} * y * n{k + 1} / nullif(n{k}, 0), {k} / 2), 0.01 * {k}), {k} - 0.01)").alias(f"d{k}")
-    return n.select("lang", at(1), at(2), at(3))
+def train(trusted: DataFrame, scratch: Scratch, order: int = ORDER) -> DataFrame:
+    """lang, k, g, c: the count of each gram of the highest order, and in how many longer grams each shorter one ends."""
+    shorter = F.struct((F.col("k") - 1).alias("k"), F.col("g").bitwiseAND(F.expr(f"shiftleft(1L, {BITS} * (k - 1)) - 1")).alias("g"), F.lit(1).cast("long").alias("c"))
+    own = F.struct("k", "g", "c")
+    sent = F.when(F.col("k") < order, F.array(shorter)).when(F.col("k") > 1, F.array(own, shorter)).otherwise(F.array(own))
+    each = counts(trusted, order).where(f"k > 1 OR k = {order}").select("lang", F.explode(sent).alias("x"))
+    return scratch.table(each.groupBy("lang", F.col("x.k").alias("k"), F.col("x.g").alias("g")).agg(F.sum("x.c").alias("c")), "counts")
 
 
-def train(trusted: DataFrame, scratch: Scratch, order: int = ORDER) -> DataFrame:
-    """lang, k, g, kind ('p': log probability of a k-gram, 'b': log back-off weight of a context before a k-gram), v."""
-    table = {order: scratch.table(counts(trusted, order), f"c{order}")}
-    for k in range(order - 1, 0, -1):
-        low = table[k + 1].groupBy("lang", F.col("g").bitwiseAND((1 << BITS * k) - 1).alias("g")).agg(F.count("*").alias("c"))
-        table[k] = scratch.table(low, f"c{k}")
-    lower, parts = None, []
-    for k in range(1, order + 1):
-        t = table[k].withColumn("h", F.shiftright("g", BITS)).join(F.broadcast(discounts(table[k])), "lang")  # a row a language
-        t = t.withColumn("d", F.expr("case c when 1 then d1 when 2 then d2 else d3 end"))
-        context = scratch.table(t.groupBy("lang", "h").agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("gamma")), f"h{k}")
-        p = t.join(context, ["lang", "h"]).withColumn("low", F.col("g").bitwiseAND((1 << BITS * (k - 1)) - 1))
-        if lower is None:
-            p = p.withColumn("q", F.lit(UNIFORM))
-        else:
-            p = p.join(lower.select("lang", F.col("g").alias("low"), F.col("p").alias("q")), ["lang", "low"])
-        lower = scratch.table(p.select("lang", "g", F.expr("(c - d) / total + gamma * q").alias("p")), f"p{k}")
-        parts.append(lower.select("lang", F.lit(k).alias("k"), "g", F.lit("p").alias("kind"), F.log("p").alias("v")))
-        parts.append(context.select("lang", F.lit(k).alias("k"), F.col("h").alias("g"), F.lit("b").alias("kind"), F.log("gamma").alias("v")))
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
+def discounts(n: np.ndarray) -> np.ndarray:
+    """Of counts 1, 2 and from 3, by the numbers of grams with counts 1 to 4; 0.5, 1 and 1.5 where these are too few."""
+    n1, n2 = int(n[0]), int(n[1])
+    y = n1 / (n1 + 2 * n2) if n1 + 2 * n2 else None
+    raw = [j / 2 if y is None or not n[j - 1] else j - (j + 1) * y * int(n[j]) / int(n[j - 1]) for j in (1, 2, 3)]
+    return np.array([min(max(d, 0.01 * j), j - 0.01) for j, d in zip((1, 2, 3), raw)])
+
+
+_BIN = f"cast(shiftright(g, {BITS}) & {(1 << BITS) - 1} as int)"
+
+
+def summary(model: DataFrame, order: int = ORDER) -> tuple[list[tuple[str, int, int]], dict[str, np.ndarray]]:
+    """The number of grams longer than one symbol by language and bin (a context's last symbol), sorted, and each
+    language's discounts by order. At most 2 ** BITS rows a language reach the driver."""
+    few = [F.count_if((F.col("k") == k) & (F.col("c") == c)).alias(f"n{k}_{c}") for k in range(1, order + 1) for c in (1, 2, 3, 4)]
+    rows = model.groupBy("lang", F.expr(_BIN).alias("bin")).agg(F.count_if(F.col("k") > 1).alias("n"), *few).toArrow()
+    langs, of = rows["lang"].to_pylist(), {}
+    told = np.stack([rows[k].to_numpy() for k in rows.column_names[3:]], axis=1).reshape(-1, order, 4)
+    for lang, n in zip(langs, told):
+        of[lang] = of[lang] + n if lang in of else n
+    return sorted(x for x in zip(langs, rows["bin"].to_pylist(), rows["n"].to_pylist()) if x[2]), {k: np.stack([discounts(x) for x in n]) for k, n in of.items()}
 
 
-def shards(model: DataFrame, most: int = SHARD) -> Iterator[list[tuple]]:
-    """Lists of (lang, first, last): the bins of a context's last symbol; each list has at most `most` entries, if one
+def shards(sizes: list[tuple[str, int, int]], most: int = SHARD) -> Iterator[list[tuple]]:
+    """Lists of (lang, first, last): the bins of a context's last symbol; each list has at most `most` grams, if one
     bin of one language has. A gram's bin is its last but one symbol; unigrams are with all bins."""
-    last = F.when(F.col("kind") == "b", F.col("g").bitwiseAND((1 << BITS) - 1)).otherwise(F.shiftright("g", BITS).bitwiseAND((1 << BITS) - 1))
-    sizes = model.where("k > 1").groupBy("lang", last.cast("int").alias("bin")).agg(F.count("*").alias("n")).orderBy("lang", "bin")
     now, held, before = [], 0, None
-    for r in sizes.toLocalIterator():
-        if now and held + r.n > most:
+    for lang, bin, n in sizes:
+        if now and held + n > most:
             yield now
             now, held, before = [], 0, None
-        if before == r.lang:
-            now[-1] = (r.lang, now[-1][1], r.bin)
+        if before == lang:
+            now[-1] = (lang, now[-1][1], bin)
         else:
-            now.append((r.lang, 0 if before is not None or not now or now[-1][0] != r.lang else r.bin, r.bin))
-        held, before = held + r.n, r.lang
+            now.append((lang, bin, bin))
+        held, before = held + n, lang
     if now:
         yield now
 
@@ -151,23 +159,49 @@ def _bounds(lists: list[list[tuple]]) -> list[dict[str, tuple[int, int]]]:
     return out
 
 
-def load(model: DataFrame, part: dict[str, tuple[int, int]]) -> dict:
-    """One shard's arrays, by language: sorted keys and values by kind and order, and the range of bins."""
-    last = F.when(F.col("kind") == "b", F.col("g").bitwiseAND((1 << BITS) - 1)).otherwise(F.shiftright("g", BITS).bitwiseAND((1 << BITS) - 1))
-    out = {}
+def tables(k: np.ndarray, g: np.ndarray, c: np.ndarray, d: np.ndarray, order: int = ORDER) -> dict:
+    """One language's sorted keys and values by kind and order: False, the log probability of a gram; True, the log
+    back-off weight of a context. g must hold every shorter ending, and all grams of each context, of its grams."""
+    out, lower = {}, None
+    for n in range(1, order + 1):
+        own = np.flatnonzero(k == n)
+        own = own[np.argsort(g[own])]
+        gs, cs = g[own], c[own]
+        starts = np.flatnonzero(np.diff(gs >> BITS, prepend=-1))
+        less = d[n - 1][np.minimum(cs, 3) - 1]
+        total = np.add.reduceat(cs, starts) if len(gs) else cs
+        gamma = np.add.reduceat(less, starts) / total if len(gs) else less
+        at = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(gs)))
+        q = UNIFORM if lower is None else lower[1][np.searchsorted(lower[0], gs & ((1 << BITS * (n - 1)) - 1))]
+        lower = gs, (cs - less) / total[at] + gamma[at] * q
+        out[False, n] = gs, np.log(lower[1]).astype(np.float32)
+        out[True, n] = gs[starts] >> BITS, np.log(gamma).astype(np.float32)
+    return out
+
+
+def load(model: DataFrame, part: dict[str, tuple[int, int]], d: dict[str, np.ndarray], order: int = ORDER) -> dict:
+    """One shard: its languages' ranges of bins and tables."""
+    top = (1 << BITS) - 1
+    mine = F.col("lang").isin([x for x, bins in part.items() if bins == (0, top)])
     for lang, (first, end) in part.items():
-        rows = model.where(F.col("lang").eqNullSafe(lang)).where((F.col("k") == 1) | last.between(first, end)).select("k", "g", "kind", F.col("v").cast("float").alias("v")).toArrow()
-        k, g, v, b = rows["k"].to_numpy(), rows["g"].to_numpy(), rows["v"].to_numpy(), rows["kind"].to_numpy(zero_copy_only=False) == "b"
-        tables = {}
-        for kind in (False, True):
-            for n in np.unique(k):
-                own = (k == n) & (b == kind)
-                order = np.argsort(g[own])
-                tables[kind, int(n)] = (g[own][order], v[own][order])
-        out[lang] = (first, end, tables)
+        if (first, end) != (0, top):
+            mine = mine | ((F.col("lang") == lang) & ((F.col("k") == 1) | F.expr(_BIN).between(first, end)))
+    rows = model.where(mine).select("lang", F.col("k").cast("byte").alias("k"), "g", "c").toArrow()
+    lang = rows["lang"].combine_chunks().dictionary_encode()
+    at, k, g, c = lang.indices.to_numpy(), rows["k"].to_numpy(), rows["g"].to_numpy(), rows["c"].to_numpy()
+    out = {}
+    for i, name in enumerate(lang.dictionary.to_pylist()):
+        own = at == i
+        out[name] = (*part[name], tables(k[own], g[own], c[own], d[name], order))
     return out
 
 
+def publish(model: DataFrame, order: int = ORDER, shard: int = SHARD) -> list[Broadcast]:
+    """The model's shards, made one after the other; the driver holds one at a time and keeps the rest in files."""
+    sizes, d = summary(model, order)
+    return [model.sparkSession.sparkContext.broadcast(load(model, part, d, order)) for part in _bounds(list(shards(sizes, shard)))]
+
+
 def _look(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     g, v = table
     at = np.minimum(np.searchsorted(g, keys), max(len(g) - 1, 0))
@@ -179,7 +213,7 @@ def log_probability(text: str, shard: tuple, order: int = ORDER, at_once: int =
     first, end, tables = shard
     s, total = symbols(text, order), 0.0
     for at in range(0, len(s) - order + 1, at_once):
-        g = grams(s[at : at + at_once + order - 1], order)
+        g = np.sort(grams(s[at : at + at_once + order - 1], order))  # neighbours are looked up near each other
         if first > 0 or end < (1 << BITS) - 1:
             bins = (g >> BITS) & ((1 << BITS) - 1)
             g = g[(bins >= first) & (bins <= end)]
@@ -198,17 +232,14 @@ def log_probability(text: str, shard: tuple, order: int = ORDER, at_once: int =
     return total
 
 
-def score(docs: DataFrame, model: DataFrame, scratch: Scratch, *, text: str, lang: str, order: int = ORDER, shard: int = SHARD) -> tuple[DataFrame, str]:
+def score(docs: DataFrame, model: DataFrame | list[Broadcast], scratch: Scratch, *, text: str, lang: str, order: int = ORDER, shard: int = SHARD) -> tuple[DataFrame, str]:
     """docs with their log perplexity per character in a further column, whose name is returned, too."""
-    spark, name = docs.sparkSession, free_name(docs.columns, "log_perplexity")
-    total = free_name(docs.columns, "total")
-    both = free_name(docs.columns, "both")
+    name, total, both = (free_name(docs.columns, x) for x in ("log_perplexity", "total", "both"))
     # mapInArrow sees the two columns it needs as one
     out = docs.withColumn(both, F.struct(F.coalesce(F.col(f"`{lang}`"), F.lit("")).alias("l"), F.col(f"`{text}`").alias("t"))).withColumn(total, F.lit(None).cast("double"))
-    for k, part in enumerate(_bounds(list(shards(model, shard)))):
-        held = spark.sparkContext.broadcast(load(model, part))
+    for k, held in enumerate(model if isinstance(model, list) else publish(model, order, shard)):
         if k:
-            out = scratch.table(out, f"pass{k}")
+            out = scratch.table(out, f"pass{k}-{uuid.uuid4().hex}")
         more = free_name(out.columns, "more")
 
         def add(col: pa.Array, held=held) -> list[pa.Array]:
@@ -225,29 +256,31 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("x")).where("q = 1 AND x = 0").select(F.col("doc_id").alias("trusted_id"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, *, id: str = "doc_id", text: str = "text", lang: str = "lang", order: int = ORDER) -> DataFrame:
-    own = docs.select(F.col(f"`{id}`").alias("id"), F.coalesce(F.col(f"`{lang}`"), F.lit("")).alias("lang"), F.col(f"`{text}`").alias("text")).where("length(text) > 0")
-    return train(own.join(trusted_ids(labels), F.col("id") == F.col("trusted_id"), "left_semi").select("lang", "text"), scratch, order)
+def trusted_rows(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """lang and text of the trusted documents that have text; only these texts are exchanged."""
+    own = docs.select(F.col(f"`{id}`").alias("key"), F.coalesce(F.col(f"`{lang}`"), F.lit("")).alias("lang"), F.col(f"`{text}`").alias("text")).where("length(text) > 0")
+    ids = trusted_ids(labels)
+    return maybe(own, ids.withColumnRenamed("trusted_id", "doc")).join(ids, F.col("key") == F.col("trusted_id"), "left_semi").select("lang", "text")
 
 
-def limits(scores: DataFrame, labels: DataFrame, *, lower: float = LOWER, upper: float = UPPER, slack: float = SLACK) -> DataFrame:
-    """scores has id, lang and lp; l, least and most: a language's bounds of the log perplexity. A row a language."""
-    known = scores.join(trusted_ids(labels), F.col("id") == F.col("trusted_id"), "left_semi").where("lp IS NOT NULL")
-    q = known.groupBy("lang").agg(F.expr(f"percentile_approx(lp, array({lower}, {upper}), 10000)").alias("q"))
+def limits(scores: DataFrame, *, lower: float = LOWER, upper: float = UPPER, slack: float = SLACK) -> DataFrame:
+    """scores has the trusted documents' lang and lp; l, least and most: a language's bounds of the log perplexity. A row a language."""
+    q = scores.where("lp IS NOT NULL").groupBy("lang").agg(F.expr(f"percentile_approx(lp, array({lower}, {upper}), 10000)").alias("q"))
     return q.selectExpr("lang as l", f"q[0] - {slack} * (q[1] - q[0]) as least", f"q[1] + {slack} * (q[1] - q[0]) as most")
 
 
 def judge(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str = "lang", lower: float = LOWER, upper: float = UPPER, slack: float = SLACK, order: int = ORDER) -> tuple[DataFrame, str, str]:
     """docs with log perplexity and whether to keep them, and the names of these two columns."""
     scratch = Scratch(docs.sparkSession, "quality")
-    model = fit(docs, labels, scratch, id=id, text=text, lang=lang, order=order)
-    narrow, n = score(docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text")), model, scratch, text="text", lang="lang", order=order)
-    seen = scratch.table(narrow.select("id", F.coalesce("lang", F.lit("")).alias("lang"), F.col(n).alias("lp")), "scores")
-    bounds = scratch.table(limits(seen, labels, lower=lower, upper=upper, slack=slack), "limits")
+    trusted = scratch.table(trusted_rows(docs, labels, id=id, text=text, lang=lang), "trusted")
+    model = publish(train(trusted, scratch, order), order)
+    known, n = score(trusted, model, scratch, text="text", lang="lang", order=order)
+    bounds = scratch.table(limits(known.select("lang", F.col(n).alias("lp")), lower=lower, upper=upper, slack=slack), "limits")
     scored, name = score(docs, model, scratch, text=text, lang=lang, order=order)
     keep, (l, least, most) = free_name(scored.columns, "keep"), (free_name(scored.columns, x) for x in ("l", "least", "most"))
     named = bounds.select(F.col("l").alias(l), F.col("least").alias(least), F.col("most").alias(most))
-    both = scored.join(named, F.coalesce(F.col(f"`{lang}`"), F.lit("")) == F.col(l), "left")
+    # a row a language
+    both = scored.join(F.broadcast(named), F.coalesce(F.col(f"`{lang}`"), F.lit("")) == F.col(l), "left")
     return both.withColumn(keep, F.coalesce(F.col(name).between(F.col(least), F.col(most)), F.lit(True))).drop(l, least, most), name, keep
 
 
