@@ -259,8 +259,9 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 def trusted_rows(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """lang and text of the trusted documents that have text; only these texts are exchanged."""
     own = docs.select(F.col(f"`{id}`").alias("key"), F.coalesce(F.col(f"`{lang}`"), F.lit("")).alias("lang"), F.col(f"`{text}`").alias("text")).where("length(text) > 0")
-    ids = trusted_ids(labels)
-    return maybe(own, ids.withColumnRenamed("trusted_id", "doc")).join(ids, F.col("key") == F.col("trusted_id"), "left_semi").select("lang", "text")
+    ids = trusted_ids(labels)  # unique; an inner join, as a semi join would be pushed below the bit map's
+    # hashed, not sorted: no sort of texts
+    return maybe(own, ids.withColumnRenamed("trusted_id", "doc")).join(ids.hint("shuffle_hash"), F.col("key") == F.col("trusted_id")).select("lang", "text")
 
 
 def limits(scores: DataFrame, *, lower: float = LOWER, upper: float = UPPER, slack: float = SLACK) -> DataFrame:
