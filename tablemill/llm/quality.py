@@ -11,14 +11,18 @@ probabilities and back-off weights come from its counts and its languages' disco
 counts of counts over all shards). A document's log probability is the sum over the shards. Most models are one shard
 and cost one pass without a shuffle.
 
-A document is rejected if its perplexity (per character) lies outside a band around its language's quantiles among
-trusted documents: above the upper quantile, or below the lower one, by more than `slack` of the spread between them.
+No document is scored by a model that has seen it: texts are dealt to FOLDS folds by their hash, each fold has a model
+of the trusted texts of the other folds, and every document, trusted or not, is scored by the model of its text's fold
+(so are exact copies of trusted texts). The folds' models come from one count table with a count column a fold.
+
+A document is rejected if its perplexity (per character) lies above the upper or below the lower quantile of its
+language's trusted documents; `slack` widens that band by so much of its width on both sides (0: not at all).
 
 Characters are 12-bit symbols: code points below 3072 as they are, others folded by their remainder. Texts are padded
 in front, so that their first characters are predicted, too.
 
-Edge cases: a null or empty text has a null perplexity and is kept; so is a text in a language without trusted text
-(null languages are one language); repeated documents each count; labels of a document that disagree make it
+Edge cases: a null or empty text has a null perplexity and is kept; so is a text in a language without trusted text in
+other folds (null languages are one language); repeated documents each count; labels of a document that disagree make it
 untrusted; empty tables give no rows or keep all; further columns pass through in `keep_clean`.
 """
 
@@ -26,11 +30,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,8 +43,9 @@ from tablemill.llm.common import Scratch, append, free_name, maybe, read
 
 ORDER, BITS = 5, 12
 SHARD = 3_000_000
+FOLDS = 5
 #: Quantiles of trusted documents' log perplexity, and the part of their distance by which a document may lie outside.
-LOWER, UPPER, SLACK = 0.01, 0.99, 1.0
+LOWER, UPPER, SLACK = 0.01, 0.99, 0.0
 UNIFORM = 1 / (1 << BITS)
 
 
@@ -62,48 +68,70 @@ def _merge(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -
     return keys, np.bincount(at, np.concatenate([a[1], b[1]]), len(keys)).astype(np.int64)
 
 
-def counts(trusted: DataFrame, order: int = ORDER, held: int = 1_000_000) -> DataFrame:
-    """trusted has lang and text; lang, k, g, c: the grams of the highest order with their counts, and each ending of
-    theirs of k symbols with 0. A task sums what it can hold before it hands on."""
+def fold_of(text: str, folds: int) -> Column:
+    """The fold of a text column, by its hash: exact copies share it."""
+    return F.pmod(F.xxhash64(F.lit(3), F.col(f"`{text}`")), F.lit(folds)).cast("int")
+
+
+def counts(trusted: DataFrame, order: int = ORDER, held: int = 1_000_000, folds: int = 1) -> DataFrame:
+    """trusted has lang and text; lang, k, g, n0 to the last fold's: the grams of the highest order with their counts by
+    fold, and each ending of theirs of k symbols with some number above 0 for the folds that have it. A task sums what
+    it can hold before it hands on."""
+    names = [f"n{f}" for f in range(folds)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        mine: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]] = {}
 
         def out():
-            for lang, (g, c) in mine.items():
+            for lang in dict.fromkeys(x for x, _ in mine):
+                own = {f: mine[lang, f] for f in range(folds) if (lang, f) in mine}
+                g = np.unique(np.concatenate([x for x, _ in own.values()]))
+                n = np.zeros((folds, len(g)), np.int64)
+                for f, (x, c) in own.items():
+                    n[f, np.searchsorted(g, x)] = c
                 for k in range(order, 0, -1):
                     if k < order:
-                        g = np.unique(g & ((1 << BITS * k) - 1))
-                        c = np.zeros(len(g), np.int64)
+                        g, at = np.unique(g & ((1 << BITS * k) - 1), return_inverse=True)
+                        n = np.stack([np.bincount(at, x > 0, len(g)) > 0 for x in n]).astype(np.int64)
                     for at in range(0, len(g), 50_000):
-                        n = len(g[at : at + 50_000])
-                        cols = [pa.repeat(pa.scalar(lang, pa.string()), n), pa.repeat(pa.scalar(k, pa.int32()), n), pa.array(g[at : at + n]), pa.array(c[at : at + n])]
-                        yield pa.RecordBatch.from_arrays(cols, names=["lang", "k", "g", "c"])
+                        m = len(g[at : at + 50_000])
+                        cols = [pa.repeat(pa.scalar(lang, pa.string()), m), pa.repeat(pa.scalar(k, pa.int32()), m), pa.array(g[at : at + m]), *(pa.array(x[at : at + m]) for x in n)]
+                        yield pa.RecordBatch.from_arrays(cols, names=["lang", "k", "g", *names])
             mine.clear()
 
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                by: dict[str, list[np.ndarray]] = {}
-                for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    by.setdefault(lang, []).append(grams(symbols(text, order), order))
-                for lang, gs in by.items():
+                by: dict[tuple[str, int], list[np.ndarray]] = {}
+                for lang, text, fold in zip(*(part.column(x).to_pylist() for x in range(3))):
+                    by.setdefault((lang, fold), []).append(grams(symbols(text, order), order))
+                for key, gs in by.items():
                     new = np.unique(np.concatenate(gs), return_counts=True)
-                    mine[lang] = _merge(mine[lang], new) if lang in mine else new
+                    mine[key] = _merge(mine[key], new) if key in mine else new
             if sum(len(g) for g, _ in mine.values()) > held:
                 yield from out()
         yield from out()
 
-    return trusted.mapInArrow(run, "lang string, k int, g long, c long").groupBy("lang", "k", "g").agg(F.sum("c").alias("c"))
+    found = trusted.select("lang", "text", fold_of("text", folds)).mapInArrow(run, "lang string, k int, g long, " + ", ".join(f"{n} long" for n in names))
+    return found.groupBy("lang", "k", "g").agg(*[F.sum(n).alias(n) for n in names])
 
 
-def train(trusted: DataFrame, scratch: Scratch, order: int = ORDER) -> DataFrame:
-    """lang, k, g, c: the count of each gram of the highest order, and in how many longer grams each shorter one ends."""
-    shorter = F.struct((F.col("k") - 1).alias("k"), F.col("g").bitwiseAND(F.expr(f"shiftleft(1L, {BITS} * (k - 1)) - 1")).alias("g"), F.lit(1).cast("long").alias("c"))
-    own = F.struct("k", "g", "c")
+def train(trusted: DataFrame, scratch: Scratch, order: int = ORDER, folds: int = 1) -> DataFrame:
+    """lang, k, g and c, or with several folds c0 to the last fold's: the count of each gram of the highest order, and
+    in how many longer grams each shorter one ends, in all texts or in those of the other folds."""
+    names = [f"c{f}" for f in range(folds)] if folds > 1 else ["c"]
+    total = "(" + " + ".join(f"n{f}" for f in range(folds)) + ")"
+    here = [F.expr(f"{total} - n{f}") for f in range(folds)] if folds > 1 else [F.col("n0")]
+    shorter = F.struct((F.col("k") - 1).alias("k"), F.col("g").bitwiseAND(F.expr(f"shiftleft(1L, {BITS} * (k - 1)) - 1")).alias("g"), *[(x > 0).cast("long").alias(c) for c, x in zip(names, here)])
+    own = F.struct("k", "g", *[x.alias(c) for c, x in zip(names, here)])
     sent = F.when(F.col("k") < order, F.array(shorter)).when(F.col("k") > 1, F.array(own, shorter)).otherwise(F.array(own))
-    each = counts(trusted, order).where(f"k > 1 OR k = {order}").select("lang", F.explode(sent).alias("x"))
-    return scratch.table(each.groupBy("lang", F.col("x.k").alias("k"), F.col("x.g").alias("g")).agg(F.sum("x.c").alias("c")), "counts")
+    each = counts(trusted, order, folds=folds).where(f"k > 1 OR k = {order}").select("lang", F.explode(sent).alias("x"))
+    return scratch.table(each.groupBy("lang", F.col("x.k").alias("k"), F.col("x.g").alias("g")).agg(*[F.sum(f"x.{c}").alias(c) for c in names]), "counts")
+
+
+def without(model: DataFrame, fold: int) -> DataFrame:
+    """The count table of the other folds: a gram that only this fold has is not in it."""
+    return model.where(f"c{fold} > 0").select("lang", "k", "g", F.col(f"c{fold}").alias("c"))
 
 
 def discounts(n: np.ndarray) -> np.ndarray:
@@ -252,6 +280,12 @@ def score(docs: DataFrame, model: DataFrame | list[Broadcast], scratch: Scratch,
     return out.withColumn(name, -F.col(total) / F.length(F.col(f"`{text}`"))).drop(total, both), name
 
 
+def score_out_of_fold(docs: DataFrame, models: list[list[Broadcast]], scratch: Scratch, *, text: str, lang: str, order: int = ORDER) -> tuple[DataFrame, str]:
+    """As score(), each fold's documents by its model. A fold's documents are read apart, so a task holds one shard."""
+    parts = [score(docs.where(fold_of(text, len(models)) == f), m, scratch, text=text, lang=lang, order=order) for f, m in enumerate(models)]
+    return reduce(DataFrame.unionAll, [x for x, _ in parts]), parts[0][1]
+
+
 def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("x")).where("q = 1 AND x = 0").select(F.col("doc_id").alias("trusted_id"))
 
@@ -270,14 +304,17 @@ def limits(scores: DataFrame, *, lower: float = LOWER, upper: float = UPPER, sla
     return q.selectExpr("lang as l", f"q[0] - {slack} * (q[1] - q[0]) as least", f"q[1] + {slack} * (q[1] - q[0]) as most")
 
 
-def judge(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str = "lang", lower: float = LOWER, upper: float = UPPER, slack: float = SLACK, order: int = ORDER) -> tuple[DataFrame, str, str]:
+def judge(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str = "lang", lower: float = LOWER, upper: float = UPPER, slack: float = SLACK, order: int = ORDER, folds: int = FOLDS) -> tuple[DataFrame, str, str]:
     """docs with log perplexity and whether to keep them, and the names of these two columns."""
     scratch = Scratch(docs.sparkSession, "quality")
     trusted = scratch.table(trusted_rows(docs, labels, id=id, text=text, lang=lang), "trusted")
-    model = publish(train(trusted, scratch, order), order)
-    known, n = score(trusted, model, scratch, text="text", lang="lang", order=order)
+    model = train(trusted, scratch, order, folds)
+    models = [publish(without(model, f), order) for f in range(folds)]
+    scratch.drop("counts")
+    known, n = score_out_of_fold(trusted, models, scratch, text="text", lang="lang", order=order)
     bounds = scratch.table(limits(known.select("lang", F.col(n).alias("lp")), lower=lower, upper=upper, slack=slack), "limits")
-    scored, name = score(docs, model, scratch, text=text, lang=lang, order=order)
+    scratch.drop("trusted")
+    scored, name = score_out_of_fold(docs, models, scratch, text=text, lang=lang, order=order)
     keep, (l, least, most) = free_name(scored.columns, "keep"), (free_name(scored.columns, x) for x in ("l", "least", "most"))
     named = bounds.select(F.col("l").alias(l), F.col("least").alias(least), F.col("most").alias(most))
     # a row a language

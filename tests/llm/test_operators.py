@@ -377,3 +377,20 @@ def test_quality_keeps_clean_and_rejects_junk(spark):
     ids = {r.doc_id for r in kept.collect()}
     assert kept.columns == d.columns and len(ids & set(range(200))) >= 196 and not ids & set(range(300, 320)) and {400, 401} <= ids
     assert quality.keep_clean(d, labels.limit(0)).count() == d.count() and quality.keep_clean(d.limit(0), labels).count() == 0
+
+
+def test_quality_scores_by_other_folds_and_keeps_only_the_band(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["tari", "mosel", "rita", "selmo", "mori"]) for _ in range(rng.randrange(3, 9))) for _ in range(40)]
+    texts += texts[:3]  # an exact copy does not train its own model
+    d = docs(spark, list(enumerate([*texts, *("tari mosel rita " * n + "x?" for n in range(1, 12))])))
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(len(texts))], "doc_id long, quality int, toxic int")
+    out, name, keep = quality.judge(d, labels, order=3)
+    got = {r.doc_id: r for r in out.withColumn("fold", quality.fold_of("text", quality.FOLDS)).collect()}
+    models = {f: brute_model([t for k, t in enumerate(texts) if got[k].fold != f], 3) for f in range(quality.FOLDS)}
+    lp = {k: -np.mean([np.log(models[r.fold](g, 3)) for g in quality.grams(quality.symbols(r.text, 3), 3).tolist()]) for k, r in got.items()}
+    assert {k: r[name] for k, r in got.items()} == pytest.approx(lp, rel=1e-4)
+    known = sorted(lp[k] for k in range(len(texts)))
+    low, high = known[0], known[int(np.ceil(0.99 * len(known))) - 1]
+    assert all(r[keep] == (low * (1 - 1e-4) <= lp[k] <= high * (1 + 1e-4)) for k, r in got.items())
+    assert any(high < x < 2 * high - low for x in lp.values())  # junk that a band of three times the width would keep
