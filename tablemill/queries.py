@@ -243,6 +243,32 @@ def _profile(spark, d, table: str) -> DataFrame:
 for _n in PROFILES:
     query(_profile_sql(_n), f"profile_{_n}")(lambda spark, d, n=_n: _profile(spark, d, n))
 
+#: The first ten columns of each table, as its schema has them; the queries take them from the table itself.
+SCHEMA = {
+    "region": ["r_regionkey", "r_name"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"],
+    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+    "embeddings": ["vec_id", "embedding", "label"],
+    "pages": ["page_id", "url", "html"],
+    "benchmark": ["item_id", "text"],
+    "labels": ["doc_id", "quality", "toxic"],
+    "conversations": ["conv_id", "turn", "role", "text"],
+}
+
+
+def _full_sql(table: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) AS total, count({c}) AS non_null, CASE WHEN count(*) > 0 THEN round((1 - count({c}) / count(*)) * 100, 1) ELSE 0 END AS null_pct, count(DISTINCT {c}) AS cardinality FROM {table}" for c in SCHEMA[table])
+
+
+for _n in SCHEMA:
+    query(_full_sql(_n), f"profile_full_{_n}" if _n in PROFILES else f"profile_{_n}")(lambda spark, d, n=_n: quality.profile(t(spark, d, n)))
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 

@@ -28,3 +28,10 @@ def test_query(spark, duck, name):
     df = queries.QUERIES[name](spark, D)
     want = duck.execute(queries.SQL[name])
     assert shown([tuple(r) for r in df.collect()], df.columns) == shown(want.fetchall(), [c[0] for c in want.description])
+
+
+@pytest.mark.parametrize("table", queries.TABLES)
+def test_profiles_have_each_tables_first_ten_columns(spark, duck, table):
+    own = [r[0] for r in duck.execute(f"DESCRIBE {table}").fetchall()][:10]
+    name = f"profile_full_{table}" if f"profile_full_{table}" in queries.QUERIES else f"profile_{table}"
+    assert sorted(r.column_name for r in queries.QUERIES[name](spark, D).collect()) == sorted(own) == sorted(queries.SCHEMA[table])
