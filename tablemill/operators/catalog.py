@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,14 +27,18 @@ def neighbourhood(edges: DataFrame, node: str) -> DataFrame:
 
 
 def closure(spark, edges: DataFrame, start: str) -> DataFrame:
-    """An extension: everything downstream of a table and its least number of steps."""
-    edges.createOrReplaceTempView("closure_edges")
-    return spark.sql(
-        """WITH RECURSIVE r(node, depth) AS (
-             SELECT :start, 0 UNION ALL SELECT e.dst, r.depth + 1 FROM r JOIN closure_edges e ON e.src = r.node WHERE r.depth < 20)
-           SELECT node, CAST(min(depth) AS INT) AS depth FROM r GROUP BY node""",
-        args={"start": start},
-    )
+    """An extension: everything downstream of a table and its least number of steps, breadth first without a cap on depth."""
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tablemill-"))
+    edges = edges.select("src", "dst").distinct().checkpoint()
+    seen = front = spark.range(1).select(F.lit(start).alias("node"), F.lit(0).alias("depth"))
+    while not front.isEmpty():
+        new = edges.join(front, edges["src"] == front["node"]).select(F.col("dst").alias("node"), (F.col("depth") + 1).alias("depth")).distinct()
+        known = seen.select(F.col("node").alias("known"))
+        front = new.join(known, F.col("node").eqNullSafe(F.col("known")), "left_anti").checkpoint()
+        seen = seen.unionByName(front).checkpoint()
+    return seen
 
 
 def known_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:

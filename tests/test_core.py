@@ -181,3 +181,10 @@ def test_jobs(spark, tmp_path, capsys):
     assert not done.success and done.rows_affected == 1500 and "1 of 2" in done.message
     assert main(["list"]) == 0 and "table_sync" in capsys.readouterr().out
     assert isinstance(done, JobResult)
+
+
+def test_closure_has_no_cap_and_walks_no_path_twice(spark):
+    chain = [(f"n{k}", f"n{k + 1}", "x") for k in range(25)]
+    more = [("n1", "m", "x"), ("m", "n2", "x"), ("n3", "n0", "x"), ("n3", "n4", "y"), ("z", "n0", "x"), ("n2", None, "x"), ("n5", None, "x")]
+    got = catalog.closure(spark, spark.createDataFrame(chain + more, "src string, dst string, label string"), "n0").collect()
+    assert sorted((str(r.node), r.depth) for r in got) == sorted([*((f"n{k}", k) for k in range(26)), ("m", 2), ("None", 3)])
