@@ -8,7 +8,8 @@ Texts are cut at the places one pattern finds. Each place is validated by its ki
   ip         four numbers up to 255: each pair of numbers is permuted
   phone      + and 7-15 digits with their separators: the digits behind the country code are permuted
   email      letters and digits of the address before the last label are permuted within their kinds
-  secret     the value behind a label such as token, password or api_key: letters and digits are permuted within their kinds
+  secret     the value, of any length, behind a label such as token, password or api_key: letters and digits are permuted
+             within their kinds (an e-mail address there is one)
 A permutation depends on the key, the kind and the length alone, so equal values get equal pseudonyms in all documents
 and different values different ones. Numbers that fail their check are left alone.
 
@@ -34,11 +35,12 @@ ROUNDS = 8
 #: Days from FIRST on that dates are permuted among: 245 x 300, up to 2101-03-27.
 FIRST, DAYS_A, DAYS_B = "1900-01-01", 245, 300
 
+EMAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z0-9-])"
 #: Each kind's pattern, in the order in which they are tried at a place. No capturing groups, Java and RE2 syntax but for
 #: the guards.
 KINDS = {
-    "secret": r"(?<![A-Za-z0-9_])(?i:token|password|passwd|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\x22']?[A-Za-z0-9_+/-]{6,200}",
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z0-9-])",
+    "secret": r"(?<![A-Za-z0-9_])(?i:token|password|passwd|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\x22']?" + rf"(?!{EMAIL})(?=[A-Za-z0-9_.=~+/-]{{5}}\.*+[A-Za-z0-9_=~+/-])[A-Za-z0-9_.=~+/-]++",
+    "email": r"(?<![A-Za-z0-9._%+-])" + EMAIL,
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9/-])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
@@ -48,7 +50,7 @@ KINDS = {
 }
 PATTERN = "|".join(KINDS.values())
 #: A place needs one of these characters.
-HINT = r"[0-9]{2}|@|[=:]\s{0,3}[\x22']?[A-Za-z0-9_+/-]{6}"
+HINT = r"[0-9]{2}|@|[=:]\s{0,3}[\x22']?[A-Za-z0-9_.=~+/-]{6}"
 
 
 def _quoted(s: str) -> str:
@@ -97,9 +99,10 @@ def luhn_sum(d: str) -> str:
     return f"aggregate(sequence(1, length({d})), 0, (s, i) -> s + if((length({d}) - i) % 2 = 1, {v} * 2 - if({v} > 4, 9, 0), {v}))"
 
 
-def characters(key: str, tweak: str, x: str) -> str:
-    """Letters and digits shifted within their kinds by a stream from the whole value; other characters stay."""
-    shift = f"cast(conv(substr(sha2(concat_ws('|', {_quoted(key)}, {tweak}, {x}, cast(floor(i / 16) as string)), 256), 1 + (i % 16) * 4, 4), 16, 10) as int)"
+def characters(key: str, tweak: str, x: str, whole: str | None = None) -> str:
+    """Letters and digits shifted within their kinds by a stream from the whole value (or what stands for it); other
+    characters stay."""
+    shift = f"cast(conv(substr(sha2(concat_ws('|', {_quoted(key)}, {tweak}, {whole or x}, cast(floor(i / 16) as string)), 256), 1 + (i % 16) * 4, 4), 16, 10) as int)"
     move = lambda base, n: f"char({base} + pmod(ascii(c) - {base} + {shift}, {n}))"
     step = f"case when c between '0' and '9' then {move(48, 10)} when c between 'a' and 'z' then {move(97, 26)} when c between 'A' and 'Z' then {move(65, 26)} else c end"
     return f"array_join(transform(split({x}, ''), (c, i) -> {step}), '')"
@@ -158,7 +161,9 @@ def _email(key: str) -> str:
 
 
 def _secret(key: str) -> str:
-    return _let("h", r"regexp_extract(m, '^[A-Za-z_-]+\\s*[=:]\\s*[\\x22\']?', 0)", f"concat(h, {characters(key, _quoted('secret'), 'substr(m, length(h) + 1)')})")
+    """Dots at the end are a sentence's. A long value's stream comes from its hash, so the work is linear."""
+    moved = _let("v", "trim(TRAILING '.' FROM substr(m, length(h) + 1))", _let("w", "if(length(v) > 200, sha2(v, 256), v)", f"concat(h, {characters(key, _quoted('secret'), 'v', 'w')}, substr(m, length(h) + length(v) + 1))"))
+    return _let("h", r"regexp_extract(m, '^[A-Za-z_-]+\\s*[=:]\\s*[\\x22\']?', 0)", moved)
 
 
 def pseudonym(key: str) -> str:

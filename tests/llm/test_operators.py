@@ -310,6 +310,19 @@ def test_shunting_yard():
         assert licenses.to_postfix(bad) is None
 
 
+def test_secrets_are_replaced_to_their_end(spark):
+    rng = random.Random(3)
+    part = lambda n: "".join(rng.choice("abcdefXYZ0123456789") for _ in range(n))
+    long, jwt, dots = part(20_000), f"{part(30)}.{part(300)}.{part(43)}~{part(20)}==", "ab.cdefgh"
+    rows = [(1, f"token: {long} end"), (2, f'secret = "{jwt}" end'), (3, f"api_key={dots}. Then"), (4, f"api_key={dots}"), (5, "token: yes..."), (6, "password: joe.doe@mail.example.com"), (7, "password: abcdef@123")]
+    out = {r.doc_id: r.text for r in pii.pseudonymize(docs(spark, rows), "k").collect()}
+    for k, value in ((1, long), (2, jwt)):
+        new = out[k].split()[-2].strip('"')
+        assert len(out[k]) == len(rows[k - 1][1]) and out[k].endswith(" end") and sum(a == b for a, b in zip(value, new)) < 0.15 * len(value) and [c.isalnum() for c in value] == [c.isalnum() for c in new]
+    assert out[3] == out[4] + ". Then" and dots not in out[4] and out[5] == "token: yes..."
+    assert out[6].endswith(".com") and "doe" not in out[6] and "example" not in out[6] and "abcdef" not in out[7]
+
+
 # ---- op3
 
 
