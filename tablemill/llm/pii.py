@@ -2,30 +2,38 @@
 
 Texts are cut at the places one pattern finds. Each place is validated by its kind and, if it holds, replaced:
   card       13-19 digits that pass the Luhn check: all digits but the last are permuted, the check digit is made anew
-  iban       country, then the mod-97 check: letters and digits behind it are permuted within their kinds, and checked anew
+  iban       country, then check digits 02 to 98 that hold by mod 97: letters and digits behind them are permuted, and
+             checked anew
   ssn        ddd-dd-dddd by the issuing rules of its area, group and serial: the digits are permuted, walking to a valid one
-  date       yyyy-mm-dd, dd.mm.yyyy, dd/mm/yyyy or mm/dd/yyyy of a real day: days are permuted within 73500 of them
-  ip         four numbers up to 255: each pair of numbers is permuted
+  date       yyyy-mm-dd, dd.mm.yyyy, dd/mm/yyyy or mm/dd/yyyy of a real day from 0001 to 9999: the days from 1900-01-01
+             to 2101-03-27 are permuted among themselves, and so are all others. A slash date is dd/mm/yyyy if it can be;
+             those that can only be mm/dd/yyyy are permuted among themselves, walking to a day above the 12th
+  ip         four numbers up to 255: each pair of numbers is permuted; numbers written with leading zeros keep their width
   phone      + and 7-15 digits with their separators: the digits behind the country code are permuted
   email      letters and digits of the address before the last label are permuted within their kinds
   secret     the value, of any length, behind a label such as token, password or api_key: letters and digits are permuted
              within their kinds (an e-mail address there is one)
-A permutation depends on the key, the kind and the length alone, so equal values get equal pseudonyms in all documents
-and different values different ones. Numbers that fail their check are left alone.
+A permutation depends on the key, the kind and the format alone, so equal values get equal pseudonyms in all documents
+and different values of a format different ones. Numbers that fail their check are left alone.
 
 Feistel: a value is (a, b) with a below A and b below B; each of ROUNDS rounds adds a keyed hash of one half to the
-other, modulo its size, which is a permutation for any A and B. Strings over a larger alphabet than digits are hidden
-character by character with a keyed shift from the whole value's hash: linked, but only practically collision-free.
+other, modulo its size, which is a permutation for any A and B. Strings over letters and digits are cut in two halves;
+a round shifts each character of one half, within its kind, by a keyed stream from the other half, which can be undone
+as well. Subsets (valid numbers, real days) are permuted by walking on until a member is met.
 
 Only rows whose text holds a place are worked on; there is no shuffle. The key comes from the caller; the query's is a
-fixed test key.
+fixed test key. The plan holds a key derived from the caller's, not that key itself; but whoever can read plans or event
+logs can make pseudonyms with it, so hide it there with spark.sql.redaction.string.regex = [0-9a-f]{64}.
 
-Edge cases: null and empty texts stay; rows repeated or in any order get the same pseudonyms; further columns pass
-through; a place inside a longer run of digits or letters is no place.
+Edge cases: null and empty texts stay; rows repeated or in any order get the same pseudonyms; an empty table stays
+empty; further columns pass through; a place inside a longer run of digits or letters is no place.
 """
 
 from __future__ import annotations
 
+import hashlib
+import hmac
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +42,9 @@ from tablemill.llm.common import free_name, read
 ROUNDS = 8
 #: Days from FIRST on that dates are permuted among: 245 x 300, up to 2101-03-27.
 FIRST, DAYS_A, DAYS_B = "1900-01-01", 245, 300
+#: All other days from 0001-01-01 to 9999-12-31; BEFORE of them lie before FIRST. FAR_A * FAR_B is a little more.
+BEFORE, FAR = 693595, 3578559
+FAR_A, FAR_B = 1892, 1892
 
 EMAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z0-9-])"
 #: Each kind's pattern, in the order in which they are tried at a place. No capturing groups, Java and RE2 syntax but for
@@ -50,7 +61,7 @@ KINDS = {
 }
 PATTERN = "|".join(KINDS.values())
 #: A place needs one of these characters.
-HINT = r"[0-9]{2}|@|[=:]\s{0,3}[\x22']?[A-Za-z0-9_.=~+/-]{6}"
+HINT = r"[0-9]{2}|[0-9][.][0-9]|@|[=:]\s{0,3}[\x22']?[A-Za-z0-9_.=~+/-]{6}"
 
 
 def _quoted(s: str) -> str:
@@ -99,15 +110,25 @@ def luhn_sum(d: str) -> str:
     return f"aggregate(sequence(1, length({d})), 0, (s, i) -> s + if((length({d}) - i) % 2 = 1, {v} * 2 - if({v} > 4, 9, 0), {v}))"
 
 
-def characters(key: str, tweak: str, x: str, whole: str | None = None) -> str:
-    """Letters and digits shifted within their kinds by a stream from the whole value (or what stands for it); other
-    characters stay."""
-    shift = f"cast(conv(substr(sha2(concat_ws('|', {_quoted(key)}, {tweak}, {whole or x}, cast(floor(i / 16) as string)), 256), 1 + (i % 16) * 4, 4), 16, 10) as int)"
+def characters(key: str, tweak: str, x: str) -> str:
+    """Letters and digits shifted within their kinds by a stream from the tweak; other characters stay."""
+    shift = f"cast(conv(substr(sha2(concat_ws('|', {_quoted(key)}, {tweak}, cast(floor(i / 16) as string)), 256), 1 + (i % 16) * 4, 4), 16, 10) as int)"
     move = lambda base, n: f"char({base} + pmod(ascii(c) - {base} + {shift}, {n}))"
     step = f"case when c between '0' and '9' then {move(48, 10)} when c between 'a' and 'z' then {move(97, 26)} when c between 'A' and 'Z' then {move(65, 26)} else c end"
     return f"array_join(transform(split({x}, ''), (c, i) -> {step}), '')"
 
 
+def permuted(key: str, tweak: str, x: str) -> str:
+    """A string's letters and digits permuted within their kinds: a Feistel network over its halves. The stream of a
+    half comes from the other one's hash, so the work is linear."""
+    n = f"cast(length({x}) div 2 as int)"
+    t = f"concat_ws('|', {tweak}, r, w)"
+    even = _let("w", "sha2(s.b, 256)", f"named_struct('a', {characters(key, t, 's.a')}, 'b', s.b)")
+    odd = _let("w", "sha2(s.a, 256)", f"named_struct('a', s.a, 'b', {characters(key, t, 's.b')})")
+    run = f"aggregate(sequence(0, {ROUNDS - 1}), named_struct('a', substr({x}, 1, {n}), 'b', substr({x}, {n} + 1)), (s, r) -> if(r % 2 = 0, {even}, {odd}))"
+    return _let("p", run, "concat(p.a, p.b)")
+
+
 def mod97(x: str) -> str:
     """An upper-case letter and digit string as a number (A is 10), modulo 97."""
     return f"aggregate(split({x}, ''), 0, (s, c) -> if(c between '0' and '9', (s * 10 + cast(c as int)) % 97, (s * 100 + ascii(c) - 55) % 97))"
@@ -120,8 +141,8 @@ def _card(key: str) -> str:
 
 
 def _iban(key: str) -> str:
-    valid = f"{mod97('concat(substr(d, 5), substr(d, 1, 4))')} = 1"
-    made = _let("y", characters(key, _quoted("iban"), "substr(d, 5)"), f"concat(substr(d, 1, 2), lpad(cast(98 - {mod97('concat(y, substr(d, 1, 2), ' + _quoted('00') + ')')} as string), 2, '0'), y)")
+    valid = f"substr(d, 3, 2) between '02' and '98' and {mod97('concat(substr(d, 5), substr(d, 1, 4))')} = 1"
+    made = _let("y", permuted(key, "concat('iban', substr(d, 1, 2))", "substr(d, 5)"), f"concat(substr(d, 1, 2), lpad(cast(98 - {mod97('concat(y, substr(d, 1, 2), ' + _quoted('00') + ')')} as string), 2, '0'), y)")
     spaced = "aggregate(split(m, ''), named_struct('t', '', 'i', 1), (s, c) -> if(c = ' ', named_struct('t', concat(s.t, c), 'i', s.i), named_struct('t', concat(s.t, substr(z, s.i, 1)), 'i', s.i + 1))).t"
     return _let("d", "replace(m, ' ', '')", f"if(length(d) between 15 and 34 and {valid}, {_let('z', made, spaced)}, m)")
 
@@ -135,19 +156,36 @@ def _ssn(key: str) -> str:
 
 
 def _date(key: str) -> str:
+    us = "m like '__/__/____' and try_to_date(m, 'dd/MM/yyyy') is null"
     day = "case when m like '____-__-__' then try_to_date(m, 'yyyy-MM-dd') when m like '__.__.____' then try_to_date(m, 'dd.MM.yyyy') else coalesce(try_to_date(m, 'dd/MM/yyyy'), try_to_date(m, 'MM/dd/yyyy')) end"
-    shape = "case when m like '____-__-__' then 'yyyy-MM-dd' when m like '__.__.____' then 'dd.MM.yyyy' when try_to_date(m, 'dd/MM/yyyy') is not null then 'dd/MM/yyyy' else 'MM/dd/yyyy' end"
-    n = f"datediff(d, date'{FIRST}')"
-    f = feistel(key, _quoted("date"), f"floor({n} / {DAYS_B})", f"{n} % {DAYS_B}", str(DAYS_A), str(DAYS_B))
-    moved = _let("f", f, f"date_format(date_add(date'{FIRST}', cast(f.a * {DAYS_B} + f.b as int)), {shape})")
-    return _let("d", day, f"if(d is not null and {n} >= 0 and {n} < {DAYS_A * DAYS_B}, {moved}, m)")
+    shape = f"case when m like '____-__-__' then 'yyyy-MM-dd' when m like '__.__.____' then 'dd.MM.yyyy' when {us} then 'MM/dd/yyyy' else 'dd/MM/yyyy' end"
+    near = f"d between date'{FIRST}' and date_add(date'{FIRST}', {DAYS_A * DAYS_B - 1})"
+    kinds = [  # start: a day's number among its kind's; back: the number's day
+        ("near", f"datediff(d, date'{FIRST}')", f"date_add(date'{FIRST}', cast({{w}} as int))", DAYS_A, DAYS_B, DAYS_A * DAYS_B),
+        ("far", f"datediff(d, date'0001-01-01') - if(d >= date'{FIRST}', {DAYS_A * DAYS_B}, 0)", f"date_add(date'0001-01-01', cast({{w}} + if({{w}} >= {BEFORE}, {DAYS_A * DAYS_B}, 0) as int))", FAR_A, FAR_B, FAR),
+    ]
+
+    def moved(name: str, start: str, back: str, a: int, b: int, size: int) -> str:
+        step = _let("f", feistel(key, _quoted("date" + name), f"floor(w / {b})", f"w % {b}", str(a), str(b)), f"f.a * {b} + f.b")
+        good = f"case when w >= {size} then false when u then day({back.format(w='w')}) > 12 else true end"
+        # a member is met again after 1.7 steps on average, and at once if all days but a few are members
+        walk = f"aggregate(sequence(1, 60), {_let('w', f'cast({start} as bigint)', step)}, (w, k) -> if({good}, w, {step}))"
+        return _let("y", walk, f"date_format({back.format(w='y')}, {shape})")
+
+    return _let("d", day, _let("u", us, f"case when d is null then m when {near} then {moved(*kinds[0])} else {moved(*kinds[1])} end"))
 
 
 def _ip(key: str) -> str:
-    p = "cast(split(m, '[.]')[{}] as int)"
-    valid = " and ".join(f"{p.format(k)} < 256" for k in range(4))
-    f = feistel(key, _quoted("ip"), f"{p.format(0)} * 256 + {p.format(1)}", f"{p.format(2)} * 256 + {p.format(3)}", "65536", "65536")
-    return f"if({valid}, {_let('f', f, 'concat_ws(' + _quoted('.') + ', f.a div 256, f.a % 256, f.b div 256, f.b % 256)')}, m)"
+    p = [f"split(m, '[.]')[{k}]" for k in range(4)]
+    valid = " and ".join(f"cast({x} as int) < 256" for x in p)
+    # numbers written with leading zeros have one digit less to choose from, and are written as wide again
+    wide = [f"if(length({x}) > 1 and substr({x}, 1, 1) = '0', length({x}), 0)" for x in p]
+    size = [f"case {w} when 0 then 256 when 2 then 10 else 100 end" for w in wide]
+    a, b = (f"cast({p[k]} as int) * {size[k + 1]} + cast({p[k + 1]} as int)" for k in (0, 2))
+    f = feistel(key, f"concat_ws(',', 'ip', {', '.join(wide)})", a, b, f"({size[0]}) * {size[1]}", f"({size[2]}) * {size[3]}")
+    got = [f"f.{h} {op} ({size[k]})" for h, op, k in (("a", "div", 1), ("a", "%", 1), ("b", "div", 3), ("b", "%", 3))]
+    out = ", ".join(f"if({w} > 0, lpad(cast({g} as string), {w}, '0'), cast({g} as string))" for w, g in zip(wide, got))
+    return f"if({valid}, {_let('f', f, f'concat_ws({_quoted(chr(46))}, {out})')}, m)"
 
 
 def _phone(key: str) -> str:
@@ -157,17 +195,18 @@ def _phone(key: str) -> str:
 
 
 def _email(key: str) -> str:
-    return _let("h", "regexp_extract(m, '^(.*)[.][A-Za-z]+$', 1)", f"concat({characters(key, _quoted('email'), 'h')}, substr(m, length(h) + 1))")
+    return _let("h", "regexp_extract(m, '^(.*)[.][A-Za-z]+$', 1)", f"concat({permuted(key, _quoted('email'), 'h')}, substr(m, length(h) + 1))")
 
 
 def _secret(key: str) -> str:
-    """Dots at the end are a sentence's. A long value's stream comes from its hash, so the work is linear."""
-    moved = _let("v", "trim(TRAILING '.' FROM substr(m, length(h) + 1))", _let("w", "if(length(v) > 200, sha2(v, 256), v)", f"concat(h, {characters(key, _quoted('secret'), 'v', 'w')}, substr(m, length(h) + length(v) + 1))"))
+    """Dots at the end are a sentence's."""
+    moved = _let("v", "trim(TRAILING '.' FROM substr(m, length(h) + 1))", f"concat(h, {permuted(key, _quoted('secret'), 'v')}, substr(m, length(h) + length(v) + 1))")
     return _let("h", r"regexp_extract(m, '^[A-Za-z_-]+\\s*[=:]\\s*[\\x22\']?', 0)", moved)
 
 
 def pseudonym(key: str) -> str:
     """SQL for the replacement of one place, m."""
+    key = hmac.new(key.encode(), b"pseudonyms", hashlib.sha256).hexdigest()
     make = {"secret": _secret, "email": _email, "iban": _iban, "date": _date, "ssn": _ssn, "ip": _ip, "phone": _phone, "card": _card}
     return "case " + " ".join(f"when m rlike {_quoted('^(?:' + p + ')$')} then {make[kind](key)}" for kind, p in KINDS.items()) + " else m end"
 

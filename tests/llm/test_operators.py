@@ -1,5 +1,6 @@
 """Each training-data operator against brute force and on odd inputs: nulls, empty and long texts, repeats, empty tables, clashing names."""
 
+import datetime
 import hashlib
 import random
 import re
@@ -129,6 +130,80 @@ def test_feistel_is_a_permutation(spark):
     assert days.distinct().count() == pii.DAYS_A * 7
 
 
+def day_of(text):
+    """The day a date string names, and its format; dd/mm/yyyy before mm/dd/yyyy."""
+    for f in ("%Y-%m-%d", "%d.%m.%Y", "%d/%m/%Y", "%m/%d/%Y"):
+        try:
+            return datetime.datetime.strptime(text, f).date(), f
+        except ValueError:
+            continue
+    return None
+
+
+def test_pseudonyms_differ_for_every_day_and_format(spark):
+    """Days of 1895 to 2105, and some of all other centuries, in four formats: all replaced one to one, format kept."""
+    day = spark.range(0, 3652059).where("id between 692000 and 769000 or id % 97 = 0 or id < 800 or id > 3651000").select(F.expr("date_add(date'0001-01-01', cast(id as int))").alias("d"))
+    text = day.select(F.explode(F.array(*[F.date_format("d", f) for f in ("yyyy-MM-dd", "dd.MM.yyyy", "dd/MM/yyyy", "MM/dd/yyyy")])).alias("was")).distinct()
+    out = pii.pseudonymize(text.withColumn("text", F.col("was")), "k").toPandas()
+    assert out.text.nunique() == len(out) > 300_000 and (out.text != out.was).mean() > 0.9999
+    for was, new in zip(out.was[::53], out.text[::53]):
+        assert day_of(was)[1] == day_of(new)[1], (was, new)
+        near = [datetime.date(1900, 1, 1) <= day_of(x)[0] <= datetime.date(2101, 3, 27) for x in (was, new)]
+        assert near[0] == near[1]
+
+
+def test_addresses_and_account_numbers_are_permuted(spark):
+    ips = [f"{a}.1.1.{b}" for a in ("10", "010", "0", "00", "000", "255") for b in ("1", "01", "001", "99", "099")]
+    body = [f"WEST{k:014d}" for k in range(300)] + [f"ABCD{'Z' * k}{'7' * (14 - k)}" for k in range(15)]
+    valid = [f"GB{98 - int(''.join(str(int(c, 36)) for c in b + 'GB00')) % 97:02d}{b}" for b in body]
+    out = {r.doc_id: r.text for r in pii.pseudonymize(docs(spark, list(enumerate([*ips, *valid]))), "k").collect()}
+    new = [out[k] for k in range(len(out))]
+    assert len(set(new)) == len(new) and not set(new) & set(ips)
+    for was, x in zip(ips, new):
+        for a, b in zip(was.split("."), x.split(".")):
+            padded = len(a) > 1 and a[0] == "0"
+            assert int(b) < 256 and (len(b) == len(a) and b[0] == "0" if padded else str(int(b)) == b)
+    for was, x in zip(valid, new[len(ips) :]):
+        assert was != x and int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1 and [c.isdigit() for c in was] == [c.isdigit() for c in x]
+
+
+def brute_permuted(key, tweak, x):
+    """The string network from its definition, and its inverse."""
+
+    def shift(half, other, r, sign):
+        w, out = hashlib.sha256(other.encode()).hexdigest(), []
+        for i, c in enumerate(half):
+            s = sign * int(hashlib.sha256("|".join([key, tweak, str(r), w, str(i // 16)]).encode()).hexdigest()[i % 16 * 4 :][:4], 16)
+            kind = next((k for k in ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ") if c in k), None)
+            out.append(kind[(kind.index(c) + s) % len(kind)] if kind else c)
+        return "".join(out)
+
+    def network(x, sign):
+        a, b = x[: len(x) // 2], x[len(x) // 2 :]
+        for r in range(pii.ROUNDS)[::sign]:
+            a, b = (shift(a, b, r, sign), b) if r % 2 == 0 else (a, shift(b, a, r, sign))
+        return a + b
+
+    made = network(x, 1)
+    assert network(made, -1) == x
+    return made
+
+
+def test_string_network_equals_brute_force(spark):
+    texts = ["a", "aB", "joe.doe@mail", "ABCD" * 20, "x9" * 700, "no-1_2.3=", "0"]
+    rows = spark.createDataFrame([(x,) for x in texts], "x string").select("x", F.expr(pii.permuted("k", "'t'", "x")).alias("y")).collect()
+    assert {r.x: r.y for r in rows} == {x: brute_permuted("k", "t", x) for x in texts}
+
+
+def test_pseudonyms_of_odd_tables(spark):
+    rows = spark.createDataFrame([(1, "on 2001-02-03", "p", "n", 5, [1])] * 2 + [(2, None, None, None, None, None)], "doc_id long, text string, parts string, new string, n_replaced int, found array<int>")
+    out = pii.pseudonymize(rows, "k")
+    got = sorted(map(tuple, out.collect()), key=lambda r: r[0])
+    assert out.columns == rows.columns and got[0] == got[1] and got[0][1] != "on 2001-02-03" and got[0][2:] == ("p", "n", 5, [1]) and got[2] == (2, None, None, None, None, None)
+    assert pii.pseudonymize(rows.limit(0), "k").count() == 0
+    assert "k-that-is-secret" not in pii.pseudonymize(rows, "k-that-is-secret")._jdf.queryExecution().toString()
+
+
 # ---- op10
 
 
