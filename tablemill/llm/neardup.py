@@ -4,15 +4,18 @@ A text's set holds its distinct shingles, as 64-bit hashes. Its signature has PL
 Signatures are split into PLACES / CHUNK chunks. If two differ in at most DISTANCE places, then by the pigeonhole
 principle some chunk differs in at most ERRORS places, so both texts emit the same key for the chunk with those places
 left out: every text emits a key for each way to leave ERRORS places out of each chunk. All pairs within DISTANCE are
-met; at a similarity of exactly 0.8, one pair in some hundred thousand is beyond it. Met pairs are confirmed on the full sets.
-Before a pair leaves the task that met it, an upper bound of its intersection must allow the similarity: a text carries a
-16-bit print of every shingle, so a common shingle is always a common print. Of sets above PRINTS shingles, the prints of
-one half, quarter, ... of the hash range, the same for all texts, stand for the rest, with SPREAD standard deviations of leeway.
+met; at a similarity of exactly 0.8, three pairs in a million are beyond it (of 48 places, 24 or more differ). Met pairs are
+confirmed on the full sets. Before a pair leaves the task that met it, an upper bound of its intersection must allow the
+similarity; the bound never rules a link out. A text carries a 16-bit print of every shingle, so of two sets up to SMALL
+shingles a common shingle is always a common print; of larger ones the counts of prints in BINS bins are compared: the
+sum of the smaller counts is the bound. Above BINS shingles the counts stand for the prints, so a row has a bounded size.
 
 Groups of copies are never expanded into pairs. Equal sets become one representative first. Texts that share a key are
 linked to the smallest of them, those links are confirmed and joined to components, and only then are further pairs of
 a key compared: those whose texts are still in different components. So a group of n near copies costs n links, and
-no link between components is lost. Large keys are dealt in tiles of at most TILE texts, so no task holds a whole key.
+no link between components is lost. Keys above TILE texts are dealt in tiles: their texts of the key's largest component
+are met by the others only, not by each other, and where the others are more than a tile, a star among them is linked
+first, up to ROUNDS times, which leaves the fewer to be dealt. So no comparing task holds a whole key.
 
 Signatures, keys that several texts share, links and components are written to the shared folder. The driver sees none.
 """
@@ -28,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablemill.llm.common import Scratch, maybe
+from tablemill.llm.common import Scratch, empty, maybe
 from tablemill.llm.components import components
 
 PLACES, CHUNK, ERRORS = 48, 4, 1
@@ -40,7 +43,8 @@ _MULTIPLY = _rng.integers(1, 2**63, PLACES, dtype=np.uint64) * np.uint64(2) + np
 _ADD = _rng.integers(0, 2**63, PLACES, dtype=np.uint64)
 _MASKS = [m for m in combinations(range(CHUNK), CHUNK - ERRORS)]
 WORDS_KEPT = 200_000
-PRINTS, SPREAD = 256, 5.0
+SMALL, BINS = 256, 2048
+ROUNDS = 4
 
 _hashes: dict[bytes, int] = {}
 
@@ -83,19 +87,14 @@ def signature(s: np.ndarray) -> bytes:
     return (mix(low) >> np.uint64(48)).astype("<u2").tobytes()
 
 
-def level(n: np.ndarray) -> np.ndarray:
-    """Sets of n shingles keep the prints of a 2 ** -level part of the hash range. Sizes that can match differ by one at most."""
-    return np.ceil(np.log2(np.maximum(np.asarray(n) / PRINTS, 1))).astype(np.int64)
-
-
 def prints(s: np.ndarray) -> bytes:
-    """How many prints the next level keeps, then the set's prints, those first; 16 bits each."""
-    h = mix(s ^ np.uint64(0x5851F42D4C957F2D))
-    k = int(level(len(s)))
-    h = h[h >> np.uint64(64 - k) == 0] if k else h
-    deep = h >> np.uint64(63 - k) == 0
-    low = np.concatenate([h[deep], h[~deep]]) & np.uint64(0xFFFF)
-    return np.concatenate([[np.uint64(deep.sum())], low]).astype("<u2").tobytes()
+    """A print of 16 bits for each shingle or, above BINS shingles, the prints' count in each bin. Empty if a count needs
+    more than 16 bits: such a set has no bound."""
+    h = (mix(s ^ np.uint64(0x5851F42D4C957F2D)) & np.uint64(0xFFFF)).astype("<u2")
+    if len(h) <= BINS:
+        return h.tobytes()
+    n = np.bincount(h % BINS, minlength=BINS)
+    return b"" if n.max() > 0xFFFF else n.astype("<u2").tobytes()
 
 
 class Prints:
@@ -103,30 +102,31 @@ class Prints:
 
     def __init__(self, col: pa.Array, n: np.ndarray, percent: int):
         rows = [np.frombuffer(x, "<u2") for x in col.to_pylist()]
-        self.n, self.level, self.percent = n, level(n), percent
-        self.deep, self.all = np.array([r[0] for r in rows], np.int64), np.array([len(r) - 1 for r in rows], np.int64)
-        self.of = np.full((len(rows), max(1, self.all.max())), 0x10000, np.int32)  # no text has this print
-        for k, r in enumerate(rows):
-            self.of[k, : len(r) - 1] = r[1:]
+        self.n, self.percent = n.astype(np.int64), percent
+        self.small, self.open = n <= SMALL, np.array([not len(r) for r in rows])
+        self.of = np.full((len(rows), SMALL), 0x10000, np.int32)  # no text has this print
+        for k in np.flatnonzero(self.small):
+            self.of[k, : len(rows[k])] = rows[k]
+        if not self.small.all():
+            self.bins = np.stack([r if m > BINS and len(r) else np.bincount(r % BINS, minlength=BINS).astype("<u2") for r, m in zip(rows, n)])
         self.mark = np.zeros(0x10001, bool)
 
     def allow(self, at: int, others: np.ndarray) -> np.ndarray:
         """Those of the others whose similarity with text `at` can reach percent."""
         out = []
         for part in (others[k : k + 1024] for k in range(0, len(others), 1024)):
-            for top in (self.level[at], self.level[at] + 1):
-                use = part[np.maximum(self.level[part], self.level[at]) == top]
-                if not len(use):
-                    continue
-                mine = self.of[at, : self.all[at] if self.level[at] == top else self.deep[at]]
-                size = np.where(self.level[use] == top, self.all[use], self.deep[use])
+            common = np.minimum(self.n[part], self.n[at])
+            known = ~(self.open[part] | self.open[at])
+            few = known & self.small[part] & self.small[at]
+            if few.any():
+                mine = self.of[at, : self.n[at]]
                 self.mark[mine] = True
-                common = (self.mark[self.of[use]] & (np.arange(self.of.shape[1]) < size[:, None])).sum(axis=1)
+                common[few] = self.mark[self.of[part[few]]].sum(axis=1)
                 self.mark[mine] = False
-                union = np.maximum(len(mine) + size - common, 0)
-                slack = SPREAD * np.sqrt(union * self.percent * (100 - self.percent)) if top else 0
-                out.append(use[100 * common >= self.percent * union - slack])
-        return np.sort(np.concatenate(out)) if out else others[:0]
+            if (many := known & ~few).any():
+                common[many] = np.minimum(self.bins[part[many]], self.bins[at]).sum(axis=1, dtype=np.int64)
+            out.append(part[100 * common >= self.percent * (self.n[part] + self.n[at] - common)])
+        return np.concatenate(out) if out else others[:0]
 
 
 def keys(sig: np.ndarray) -> np.ndarray:
@@ -231,17 +231,38 @@ def confirm(pairs: DataFrame, docs: DataFrame, words: Callable, size: int, perce
     return both.withColumn("i", share).where(F.expr(f"100 * i >= {percent} * (na + nb - i)")).select("a", "b")
 
 
-def across(shared: DataFrame, labels: DataFrame, reps: DataFrame, percent: int, tile: int = TILE) -> DataFrame:
-    """Pairs within DISTANCE that share a key but no component yet and whose prints allow a match, with n of both. Each
-    key's texts are dealt in tiles; a pair that shares several keys is met at the first of them only."""
+def mixed_keys(shared: DataFrame, labels: DataFrame, tile: int) -> tuple[DataFrame, DataFrame]:
+    """The texts, with components, of the keys that hold several components; and of those keys with more than a tile of
+    texts: main, the component of most texts, how many are in it and how many are not."""
     at = lambda c, to: labels.select(F.col("node").alias(c), F.col("component").alias(to))
     known = shared.join(at("doc", "c"), "doc", "left").withColumn("c", F.coalesce("c", "doc"))
     known = known.join(at("center", "cc"), "center", "left").withColumn("cc", F.coalesce("cc", "center"))
     mixed = known.groupBy("key").agg(F.count("*").alias("size"), F.max((F.col("c") != F.col("cc")).cast("int")).alias("mixed")).where("mixed = 1").select("key", "size")
-    rows = known.select("key", "doc", "c").join(mixed, "key").join(reps.select("doc", "n", "sig", "prints"), "doc")
-    tiles = F.expr(f"cast(ceil(size / {tile}) as int)")
-    own = rows.withColumn("tiles", tiles).withColumn("own", F.expr("pmod(xxhash64(doc), tiles)").cast("int"))
-    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc", "c", "n", "sig", "prints")
+    rows = known.select("key", "doc", "c").join(mixed, "key")
+    most = rows.where(F.col("size") > tile).groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key")
+    large = most.agg(F.expr("max(struct(n, -c as c))").alias("top"), F.sum("n").alias("n")).select("key", (-F.col("top.c")).alias("main"), F.col("top.n").alias("inside"), (F.col("n") - F.col("top.n")).alias("others"))
+    return rows, large
+
+
+def second_stars(rows: DataFrame, large: DataFrame, tile: int) -> DataFrame:
+    """Of large keys with more than a tile of texts outside main: the smallest such text (a) with each of the others (b)."""
+    out = rows.join(large.where(F.col("others") > tile), "key").where("c <> main").select("key", "doc", "c")
+    first = out.groupBy("key").agg(F.expr("min(struct(doc as a, c as ca))").alias("first"))
+    return out.join(first, "key").where("c <> first.ca").select("first.a", F.col("doc").alias("b")).distinct()
+
+
+def across(rows: DataFrame, large: DataFrame, reps: DataFrame, percent: int, tile: int = TILE) -> DataFrame:
+    """Pairs within DISTANCE that share a key but no component yet and whose bound allows a match, with n of both. A pair
+    that shares several keys is met at the first of them only.
+
+    Keys up to a tile are one group. Of larger ones, tiles 0, 1, ... hold the texts outside main and the tiles behind them
+    those of main; a group is two tiles, the first of which is one of the others'."""
+    deal = F.expr(f"""CASE WHEN main IS NULL THEN named_struct('own', 0, 'all', 1)
+        WHEN c = main THEN named_struct('own', cast(ceil(others / {tile}) + pmod(xxhash64(doc), ceil(inside / {tile})) as int), 'all', cast(ceil(others / {tile}) as int))
+        ELSE named_struct('own', cast(pmod(xxhash64(doc), ceil(others / {tile})) as int), 'all', cast(ceil(others / {tile}) + ceil(inside / {tile}) as int)) END""")
+    own = rows.join(large, "key", "left").withColumn("deal", deal).select("key", "doc", "c", F.col("deal.own").alias("own"), F.col("deal.all").alias("all"))
+    own = own.join(reps.select("doc", "n", "sig", "prints"), "doc").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("all") - 1)))
+    dealt = own.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc", "c", "n", "sig", "prints")
     together = dealt.repartition(F.col("key"), F.col("i"), F.col("j")).sortWithinPartitions("key", "i", "j", "doc")
 
     def compare(own, doc, c, n, sig, bound: Prints, group: tuple) -> Iterator[pa.RecordBatch]:
@@ -282,7 +303,7 @@ def across(shared: DataFrame, labels: DataFrame, reps: DataFrame, percent: int,
     return together.mapInArrow(run, "a long, b long, na long, nb long")
 
 
-def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text", shingle_words: int = 5, percent: int = 80, words: Callable = ascii_words) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text", shingle_words: int = 5, percent: int = 80, words: Callable = ascii_words, tile: int = TILE) -> DataFrame:
     """A row for each row of docs with an id: doc, n_shingles, component (smallest id reachable), kept.
 
     Edge cases: null and wordless texts have no shingles and are linked with nothing; a text of fewer words than a
@@ -301,7 +322,16 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     near = scratch.table(within(stars, stand, percent), "stars")
     links = scratch.table(confirm(near, own, words, shingle_words, percent), "star-links")
     labels = scratch.table(components(links, scratch, "first"), "labels")
-    rest = scratch.table(across(shared, labels, stand, percent), "rest")
+    for k in range(ROUNDS + 1):
+        rows, large = mixed_keys(shared, labels, tile)
+        large = scratch.table(large, f"large-{k}")
+        if k == ROUNDS or empty(large.where(F.col("others") > tile)):
+            break
+        near = scratch.table(within(second_stars(rows, large, tile), stand, percent), f"stars-{k}")
+        found = confirm(near, own, words, shingle_words, percent)
+        every_link = found.unionByName(labels.select(F.col("component").alias("a"), F.col("node").alias("b")))
+        labels = scratch.table(components(scratch.table(every_link, f"links-{k}"), scratch, f"round-{k}"), f"labels-{k}")
+    rest = scratch.table(across(rows, large, stand, percent, tile), "rest")
     more = confirm(rest, own, words, shingle_words, percent)
     # copies of one set meet at their representative
     copies = every.join(reps.where("rep <> last").select("whole", "rep"), "whole").where("doc <> rep").select(F.col("rep").alias("a"), F.col("doc").alias("b"))

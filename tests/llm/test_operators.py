@@ -241,6 +241,65 @@ def test_near_duplicates_equal_brute_force(spark):
     assert kept.columns == docs(spark, rows).columns and kept.count() == sum(g[3] for g in brute_groups(rows))
 
 
+def test_near_duplicates_of_long_texts_in_many_tiles(spark):
+    """Texts of 300 to 2600 words around few bases, so that keys hold many times a tile, and components are several."""
+    rng = random.Random(17)
+    rows = []
+    for words, copies in ((300, 150), (900, 40), (2600, 12)):
+        base = [f"v{rng.randrange(5000)}" for _ in range(words)]
+        for _ in range(copies):
+            w = list(base)
+            for _ in range(rng.randrange(words // 6)):
+                w[rng.randrange(words)] = f"n{rng.random()}"
+            rows.append((len(rows), " ".join(w)))
+    want = brute_groups(rows)
+    assert len({g[2] for g in want}) > 3
+    for tile in (4, 32, neardup.TILE):
+        got = neardup.near_duplicates(docs(spark, rows), shingle_words=2, tile=tile)
+        same([tuple(r) for r in got.select("doc", "n_shingles", "component", "kept").collect()], want)
+
+
+def test_second_stars_and_tiles_meet_every_pair(spark):
+    """One key whose largest component is not its centre's: each pair of different components is met once."""
+    base = [f"v{k}" for k in range(400)]
+    s = [neardup.shingles([x.encode() for x in base[: 400 - k % 7]], 1) for k in range(60)]
+    reps = spark.createDataFrame([(k, len(x), neardup.signature(s[0]), neardup.prints(x)) for k, x in enumerate(s)], "doc long, n long, sig binary, prints binary")
+    key = int(neardup.keys(np.frombuffer(neardup.signature(s[0]), "<u2").reshape(1, -1))[0, 0])
+    shared = spark.createDataFrame([(key, k, 0) for k in range(60)], "key long, doc long, center long")
+    label = {k: 20 if k >= 20 else k // 2 for k in range(60)}
+    labels = spark.createDataFrame(list(label.items()), "node long, component long")
+    rows, large = neardup.mixed_keys(shared, labels, 8)
+    assert [(r.main, r.inside, r.others) for r in large.collect()] == [(20, 40, 20)]
+    same([(r.a, r.b) for r in neardup.second_stars(rows, large, 8).collect()], [(0, k) for k in range(2, 20)])
+    assert neardup.second_stars(rows, large, 20).count() == 0
+    want = [(a, b) for a in range(60) for b in range(a + 1, 60) if label[a] != label[b]]
+    for tile in (1, 7, 8, 100):
+        rows, large = neardup.mixed_keys(shared, labels, tile)
+        same([(r.a, r.b) for r in neardup.across(rows, large, reps, 80, tile).collect()], want)
+
+
+def test_bound_of_prints_rules_no_link_out():
+    rng = np.random.default_rng(4)
+    sets = []
+    for n in (1, 5, 200, 256, 257, 300, 2000, 2048, 2049, 2500, 60_000):
+        base = rng.integers(0, 2**63, n, dtype=np.uint64)
+        for part in (1.0, 0.97, 0.9, 0.88, 0.7):
+            kept = base[: max(1, int(n * part))]
+            sets.append(np.unique(np.concatenate([kept, rng.integers(0, 2**63, n - len(kept), dtype=np.uint64)])))
+    n = np.array([len(s) for s in sets])
+    bound = neardup.Prints(neardup.pa.array([neardup.prints(s) for s in sets], neardup.pa.binary()), n, 80)
+    ruled_out = 0
+    for a in range(len(sets)):
+        others = np.arange(a + 1, len(sets))
+        allowed = set(bound.allow(a, others).tolist())
+        for b in others.tolist():
+            i = len(np.intersect1d(sets[a], sets[b]))
+            linked = 100 * i >= 80 * (n[a] + n[b] - i)
+            assert b in allowed or not linked
+            ruled_out += b not in allowed
+    assert ruled_out > 0.8 * len(sets) ** 2 / 2
+
+
 def test_near_duplicates_odd_rows(spark):
     rows = [(None, "a b c"), (None, "a b c"), (5, "a b c"), (5, "a b c"), (6, "x")]
     got = [tuple(r) for r in neardup.near_duplicates(docs(spark, rows), shingle_words=2).select("doc", "component", "kept").collect()]
