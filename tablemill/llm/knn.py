@@ -33,7 +33,8 @@ SCALE, TREE, PAGE, FAN, QUERIES = 1024, 8192, 64, 16, 1024
 
 
 def scaled(vectors: list[list[float | None] | None], scale: int = SCALE) -> list[np.ndarray | None]:
-    """floor(scale * x) of each component, as whole doubles; None for vectors that take no part."""
+    """floor(scale * x) of each component, as whole doubles; None for vectors that take no part: null or empty ones, and
+    those with a component that is null or not finite, before or after the scaling."""
     out = []
     for v in vectors:
         if v is None or not len(v) or any(x is None for x in v):
@@ -41,7 +42,7 @@ def scaled(vectors: list[list[float | None] | None], scale: int = SCALE) -> list
             continue
         with np.errstate(over="ignore"):
             x = np.floor(scale * np.asarray(v, np.float64))
-        out.append(x if np.isfinite(np.asarray(v, np.float64)).all() else None)
+        out.append(x if np.isfinite(x).all() else None)
     return out
 
 

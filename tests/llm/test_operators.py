@@ -316,6 +316,11 @@ def test_components_of_a_chain(spark):
 # ---- op5
 
 
+def test_overflow_after_scaling_takes_no_part():
+    assert [x is None for x in knn.scaled([[1e306, 0.0], [1e300, 1.0], [float("inf")], [float("nan")], [None], [], None, [0.5]])] == [True, False, True, True, True, True, True, False]
+
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(700, 8)).round(2)
@@ -438,6 +443,87 @@ def test_licence_scan_equals_brute_force(spark):
     assert "spdx-invalid" in out[4].labels
 
 
+def brute_labels(text):
+    """All labels and the score from the rules: phrases by lists of words, tags by lines, expressions by recursion."""
+    w = re.findall(r"[0-9a-z\x80-\U0010ffff]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
+    phrases = {**licenses.BASE, **licenses.NOTICES}
+    hits = [label for p, label in phrases.items() for k in range(len(w)) if w[k : k + len(p.split())] == p.split()]
+    labels, valid = set(hits), False
+
+    def choose(a, b):
+        return min(a, b, key=lambda s: (max(next((k for k, x in enumerate(licenses._ORDER) if one.startswith(x)), len(licenses._ORDER)) for one in s), sorted(s)))
+
+    def parse(tok):
+        """The licences chosen, and all labels on the way; by descent from OR to AND to WITH."""
+
+        def level(name, below):
+            got, seen = below()
+            while tok and tok[0] == name:
+                tok.pop(0)
+                more, also = below()
+                seen |= also
+                if name == "or":
+                    got = choose(got, more)
+                    seen |= {"choice:" + x for x in got}
+                else:
+                    got = got | more
+            return got, seen
+
+        def one():
+            if tok and tok[0] == "(":
+                tok.pop(0)
+                got = level("or", lambda: level("and", one))
+                if not tok or tok.pop(0) != ")":
+                    raise ValueError
+            elif tok and licenses.is_licence(tok[0]):
+                x = tok.pop(0)
+                got = {x}, {"spdx:" + x}
+            else:
+                raise ValueError
+            if tok and tok[0] == "with":
+                tok.pop(0)
+                if not tok or tok[0] not in licenses.EXCEPTIONS or len(got[0]) != 1:
+                    raise ValueError
+                got = got[0], got[1] | {"exception:" + tok.pop(0)}
+            return got
+
+        got, seen = level("or", lambda: level("and", one))
+        if tok:
+            raise ValueError
+        return seen
+
+    for line in (text or "").split("\n"):
+        for m in re.finditer(r"(?i)spdx[^0-9a-z]+license[^0-9a-z]+identifier(?![0-9a-z])([ \t]*[:=])?(.*)", line):
+            try:
+                labels |= parse(re.findall(r"[()]|[^\s()]+", m[2].lower()))
+                valid = True
+            except ValueError:
+                labels |= {"spdx-invalid"} if m[1] else set()
+    return ",".join(sorted(labels)), 1.0 if valid else 1 - 0.5 ** len(hits)
+
+
+def test_licence_labels_equal_brute_force(spark):
+    rng = random.Random(18)
+    tokens = ["MIT", "GPL-2.0+", "Apache-2.0", "ISC", "LicenseRef-own", "hello", "AND", "OR", "or", "WITH", "(", ")", "Classpath-exception-2.0", "LLVM-exception"]
+    tags = ["SPDX-License-Identifier:", "spdx.license.identifier: ", "SPDX License Identifier =", "the SPDX-License-Identifier", "spdx license identifiers:"]
+    texts = ["SPDX-License-Identifier: hello", "spdx.license.identifier: MIT", "A SPDX license identifier is documented there", "SPDX-License-Identifier MIT", "SPDX-License-Identifier: LLVM-exception", "SPDX-License-Identifier: (MIT OR ISC) AND GPL-3.0-only WITH GCC-exception-3.1"]
+    for _ in range(1500):
+        lines = [rng.choice([*licenses.BASE, *licenses.NOTICES, "x y", "é mit", ""]).title() for _ in range(rng.randrange(3))]
+        mixed = [rng.choice(tokens) for _ in range(rng.randrange(6))]
+        shaped = ["MIT", rng.choice(["AND", "OR"]), "(", "GPL-2.0-only", rng.choice(["WITH", "OR"]), rng.choice(["Classpath-exception-2.0", "ISC"]), ")"]
+        lines.insert(rng.randrange(len(lines) + 1), f"{rng.choice(tags)} {' '.join(rng.choice([mixed, shaped]))}")
+        texts.append("\n".join(lines))
+    a = licenses.automaton()
+    valid = 0
+    for t in texts:
+        got = licenses.scan(t, a)
+        assert (got["labels"], got["score"]) == brute_labels(t), t
+        valid += got["score"] == 1
+    assert valid > 300 and licenses.scan(texts[0], a)["labels"] == "spdx-invalid" and licenses.scan(texts[2], a)["labels"] == ""
+    twice = licenses.license_scan(docs(spark, [(1, texts[1])] * 2)).collect()
+    assert twice[0] == twice[1] and twice[0].labels == "spdx:mit" and licenses.license_scan(docs(spark, [(1, "x")]).limit(0)).count() == 0
+
+
 def test_shunting_yard():
     assert licenses.to_postfix("a OR b AND c WITH d") == ["a", "b", "c", "d", "with", "and", "or"]
     for bad in ("", "a b", "(a", "a)", "AND a", "a OR", "()"):
