@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from tablemill.llm.common import Scratch, read
 
 SCALE, TREE, PAGE, FAN, QUERIES = 1024, 8192, 64, 16, 1024
+LARGEST = 1e200
 
 
 def scaled(vectors: list[list[float | None] | None], scale: int = SCALE) -> list[np.ndarray | None]:
@@ -57,12 +58,17 @@ def products(x: np.ndarray, q: np.ndarray) -> list[int] | np.ndarray:
 
 
 class MTree:
-    """Pages of one block of rows. Node 0 is the root."""
+    """Pages of one block of rows. Node 0 is the root. A block with a vector so long that distances are no numbers has no
+    pages: all its rows are compared."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray):
-        self.longest = float((x * x).sum(axis=1).max())
-        self.point = np.hstack([x, np.sqrt(np.maximum(self.longest - (x * x).sum(axis=1), 0))[:, None]])
+        with np.errstate(over="ignore"):
+            self.longest = float((x * x).sum(axis=1).max())
         self.ids, self.x = ids, x
+        self.flat = not self.longest < LARGEST
+        if self.flat:
+            return
+        self.point = np.hstack([x, np.sqrt(np.maximum(self.longest - (x * x).sum(axis=1), 0))[:, None]])
         self.nodes: list[tuple] = []  # internal: (False, children, centers, radii, to parent); leaf: (True, rows, to center)
         self._grow(np.arange(len(ids)), self.point[0])
         del self.point
@@ -99,11 +105,25 @@ class MTree:
             far = np.minimum(far, np.linalg.norm(sample - sample[k], axis=1))
         return np.array(picked)
 
+    def _offer(self, rows: np.ndarray, query_id: int, q: np.ndarray, best: list[tuple[int, int]], k: int) -> None:
+        scores = products(self.x[rows], q)
+        for i in np.flatnonzero(scores >= best[0][0]) if len(best) >= k else range(len(rows)):
+            row, s = int(self.ids[rows[i]]), int(scores[i])
+            if row == query_id:
+                continue
+            if len(best) < k:
+                heapq.heappush(best, (s, -row))
+            elif (s, -row) > best[0]:
+                heapq.heapreplace(best, (s, -row))
+
     def search(self, query_id: int, q: np.ndarray, best: list[tuple[int, int]], k: int) -> None:
         """best: a heap of (score, -id), the worst first; rows of the tree that belong to the best k go in."""
+        if self.flat or not float(np.abs(q).max()) < LARGEST**0.5:
+            self._offer(np.arange(len(self.ids)), query_id, q, best, k)
+            return
         norm = float(q @ q) + self.longest
         point = np.append(q, 0.0)
-        slack = 1e-9 * np.sqrt(norm) + 1e-6
+        slack = 1e-7 * np.sqrt(norm) + 1e-6  # more than the root of a rounding error of norm
 
         def reach() -> float:
             """Distance beyond which no row can be among the best."""
@@ -118,16 +138,7 @@ class MTree:
                 break
             if self.nodes[node][0]:
                 _, rows, stored = self.nodes[node]
-                rows = rows[np.abs(away - stored) <= far + slack]
-                scores = products(self.x[rows], q)
-                for i in (np.flatnonzero(scores >= best[0][0]) if len(best) >= k else range(len(rows))):
-                    row, s = int(self.ids[rows[i]]), int(scores[i])
-                    if row == query_id:
-                        continue
-                    if len(best) < k:
-                        heapq.heappush(best, (s, -row))
-                    elif (s, -row) > best[0]:
-                        heapq.heapreplace(best, (s, -row))
+                self._offer(rows[np.abs(away - stored) <= far + slack], query_id, q, best, k)
                 continue
             _, children, centers, radii, stored = self.nodes[node]
             may = np.flatnonzero(np.abs(away - stored) - radii <= far + slack)

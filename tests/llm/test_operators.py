@@ -316,6 +316,21 @@ def test_components_of_a_chain(spark):
 # ---- op5
 
 
+def test_very_long_vectors_do_not_harm_others():
+    """Scores beyond a long are clipped to its ends."""
+    rng = np.random.default_rng(6)
+    clip = lambda s: min(max(s, -(2**63)), 2**63 - 1)
+    for longest in (1e3, 1e9, 1e14, 1e90, 1e150, 1e300):
+        x = np.floor(rng.normal(size=(300, 6)) * 1024)
+        x[7, 2] = np.floor(longest)
+        tree = knn.MTree(np.arange(300), x)
+        for query in (7, 8, 9, 10):
+            best = []
+            tree.search(query, x[query], best, 10)
+            scores = [(-clip(sum(int(a) * int(b) for a, b in zip(x[k], x[query]))), k) for k in range(300) if k != query]
+            assert sorted((-s, -i) for s, i in best) == sorted(scores)[:10], (longest, query)
+
+
 def test_overflow_after_scaling_takes_no_part():
     assert [x is None for x in knn.scaled([[1e306, 0.0], [1e300, 1.0], [float("inf")], [float("nan")], [None], [], None, [0.5]])] == [True, False, True, True, True, True, True, False]
 
