@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 #: System schemas that catalog scans leave out; fixed values.
 SYSTEM_SCHEMAS = {
-    "postgresql": ["pg_catalog", "information_schema", "pg_toast"],
-    "mssql": ["sys", "INFORMATION_SCHEMA", "guest"],
-    "clickhouse": ["system", "INFORMATION_SCHEMA", "information_schema"],
+    "postgresql": ["pg_catalog", "information_schema"],
+    "mssql": [
+        "sys", "INFORMATION_SCHEMA", "guest", "db_owner", "db_accessadmin", "db_securityadmin", "db_ddladmin", "db_backupoperator",
+        "db_datareader", "db_datawriter", "db_denydatareader", "db_denydatawriter",
+    ],
     "sqlite": [],
-}
+    "clickhouse": ["system", "INFORMATION_SCHEMA", "information_schema"],
+}
 
 
 def split_name(name: str, default: str = "public") -> tuple[str, str]:

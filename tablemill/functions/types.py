@@ -26,11 +26,11 @@ SPARK = {
 ZERO_UUID, EPOCH_DATE, EPOCH = "00000000-0000-0000-0000-000000000000", "1970-01-01", "1970-01-01 00:00:00"
 #: Timestamp column types by kind of database. Fixed values.
 STAMP = {"clickhouse": "DateTime64(3)", "mssql": "DATETIME2", "postgresql": "TIMESTAMP", "sqlite": "TIMESTAMP"}
-#: Array element types that keep their name; others become text. Fixed values.
-ELEMENTS = {
-    "_int2": "smallint", "_int4": "integer", "_int8": "bigint", "_float4": "real", "_float8": "double precision", "_bool": "boolean",
-    "_text": "text", "_varchar": "character varying", "_bpchar": "character", "_numeric": "numeric", "_date": "date", "_timestamp": "timestamp without time zone",
-    "_timestamptz": "timestamp with time zone", "_uuid": "uuid", "_json": "json", "_jsonb": "jsonb", "_bytea": "bytea",
+#: Array types by element. Fixed values.
+ARRAYS = {
+    "_bool": "boolean[]", "_int2": "smallint[]", "_int4": "integer[]", "_int8": "bigint[]", "_float4": "real[]", "_float8": "double precision[]",
+    "_numeric": "numeric[]", "_text": "text[]", "_varchar": "character varying[]", "_char": "character[]", "_uuid": "uuid[]", "_date": "date[]",
+    "_timestamp": "timestamp without time zone[]", "_timestamptz": "timestamp with time zone[]", "_json": "json[]", "_jsonb": "jsonb[]", "_inet": "inet[]",
 }
 
 
@@ -51,12 +51,12 @@ def unwrap(kind: str) -> str:
 def source_type(col: dict) -> str:
     """FUN-5: a catalog row's type with its modifiers."""
     kind = col["pg_type"].lower()
-    if kind in ("character varying", "varchar", "character", "char") and col.get("max_length"):
-        return f"{'varchar' if 'var' in kind else 'char'}({col['max_length']})"
+    if kind in ("character varying", "character") and col.get("max_length"):
+        return f"{kind}({col['max_length']})"
     if kind == "numeric" and col.get("precision") is not None:
         return f"numeric({col['precision']}" + (f",{col['scale']})" if col.get("scale") is not None else ")")
     if kind == "array":
-        return ELEMENTS.get(col.get("udt_name") or "", "text") + "[]"
+        return ARRAYS.get(col.get("udt_name") or "", "text[]")
     return "text" if kind == "user-defined" else col["pg_type"]
 
 

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 class TableStore:
     """Data and watermark change together: both are in one manifest, which is written last and never changed (SNK-1 to
-    SNK-15). Manifests are numbered; creating a number that exists fails, so of two writers one has to start again."""
+    SNK-15). Manifests are numbered; creating a number that exists fails, so of two writers one has to start again. That
+    holds where the file system creates a file only if it is not there, as HDFS and local ones do; object stores without
+    such a conditional write need one writer a table."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -54,6 +56,33 @@ class TableStore:
         stream.close()
         return number
 
+    def staged(self, table: str, df: DataFrame) -> DataFrame:
+        """df as written once to the table's staging folder, which replaces what an ended run left there."""
+        at = f"{self.root}/{table}/_staging"
+        df.write.mode("overwrite").parquet(at)
+        return self.spark.read.schema(df.schema).parquet(at)
+
+    def unstage(self, table: str) -> None:
+        self._fs.delete(self._path(f"{self.root}/{table}/_staging"), True)
+
+    def vacuum(self, table: str, keep: int = 2) -> int:
+        """Deletes the versions that none of the last `keep` manifests names, and older manifests; readers of those must
+        have ended. Returns how many versions went."""
+        numbers = self._manifests(table)
+        names = {}
+        for n in numbers[-max(keep, 1) :]:
+            stream = self._fs.open(self._path(f"{self.root}/{table}/_manifests/{n:012d}.json"))
+            try:
+                names |= dict.fromkeys(json.loads(bytes(stream.readAllBytes()).decode())["parts"])
+            finally:
+                stream.close()
+        for n in numbers[: -max(keep, 1)]:
+            self._fs.delete(self._path(f"{self.root}/{table}/_manifests/{n:012d}.json"), False)
+        gone = [s.getPath() for s in self._fs.listStatus(self._path(f"{self.root}/{table}")) if s.getPath().getName().startswith("v-") and s.getPath().getName() not in names] if numbers else []
+        for at in gone:
+            self._fs.delete(at, True)
+        return len(gone)
+
     def truncate(self, table: str) -> None:
         """SNK-10."""
         if (df := self.read(table)) is not None:

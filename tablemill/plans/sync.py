@@ -62,6 +62,8 @@ def extract(source: DataFrame, plan: SyncPlan, watermark, now: datetime) -> Data
 def run(plan: SyncPlan, source: DataFrame, store: TableStore, now: datetime) -> int:
     """Rows that came in. The watermark is taken from the delta before columns are dropped (Q7)."""
     found = extract(source, plan, parse(store.watermark(plan.target_table)), now)
+    # read once: count, watermark and rows come from the same written delta, so a row that arrives meanwhile waits for the next run
+    found = store.staged(plan.target_table, found)
     fresh = project(found, drop=plan.drop_columns, types=plan.types, required=plan.required)
     row = found.agg(F.count("*").alias("n"), F.max(plan.mark).alias("m") if plan.mark else F.lit(None).alias("m")).first()
     target = store.read(plan.target_table)
@@ -74,6 +76,7 @@ def run(plan: SyncPlan, source: DataFrame, store: TableStore, now: datetime) ->
         order = [F.col(plan.mark)] if plan.mark and plan.mark in fresh.columns else []
         base = fresh.limit(0) if target is None else target.select(*fresh.columns)
         store.commit(plan.target_table, merge(base, fresh, plan.strategy, plan.keys, [*order, *[F.col(c) for c in fresh.columns]]), watermark=mark, partition_by=plan.partition_by, sort_by=plan.order_by)
+    store.unstage(plan.target_table)
     return row.n
 
 

@@ -659,7 +659,11 @@ def _folder(spark: SparkSession) -> str:
     """A fresh folder that all executors share."""
     import uuid
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tablemill-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="tablemill-")
     return f"{base.rstrip('/')}/tablemill/streams-{uuid.uuid4().hex}"
 
 

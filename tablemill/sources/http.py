@@ -50,8 +50,11 @@ def fetch_batches(df: DataFrame, *, url: str, key: str, batch_key: str, array: s
                     found = items(transport(method, url, json.dumps({batch_key: ids}), headers or {}, timeout))
                 except Exception:  # noqa: BLE001
                     found = []
-                by = {str(x.get(id_field)): x for x in found} if id_field else dict(zip(map(str, ids), found))
-                got += [json.dumps(by[str(i)]) if str(i) in by else None for i in ids]
+                if id_field:  # items that are no objects have no id
+                    by = {str(x.get(id_field)): x for x in found if isinstance(x, dict)}
+                    got += [json.dumps(by[str(i)]) if str(i) in by else None for i in ids]
+                else:
+                    got += [json.dumps(found[k]) if k < len(found) else None for k in range(len(ids))]
             yield p.assign(response=pd.Series(got, index=p.index, dtype=object))
 
     return df.mapInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", response string")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Default ports, fixed values.
 PORTS = {"postgresql": 5432, "mssql": 1433, "clickhouse": 8123}
 DRIVERS = {"postgresql": "org.postgresql.Driver", "mssql": "com.microsoft.sqlserver.jdbc.SQLServerDriver", "clickhouse": "com.clickhouse.jdbc.ClickHouseDriver", "sqlite": "org.sqlite.JDBC"}
-REQUIRED = {"sqlite": ("id", "dbname")}
+REQUIRED = {"sqlite": ("id", "host")}
 
 
 def expand_env(value: str) -> str:
@@ -48,6 +48,8 @@ class Registry:
         fresh.replace(self.path)
 
     def add(self, db: dict) -> None:
+        if db.get("type") == "sqlite" and not db.get("host") and db.get("dbname"):
+            db = db | {"host": db["dbname"]}
         missing = [k for k in REQUIRED.get(db.get("type", ""), ("id", "host", "dbname")) if not db.get(k)]
         if missing:
             raise ValueError("missing: " + ", ".join(missing))
@@ -71,10 +73,10 @@ class Registry:
 
 
 def url(db: dict) -> str:
-    """SRC-3."""
+    """SRC-3. An sqlite database's file is its host (or, in older entries, its dbname)."""
     kind = db["type"]
     if kind == "sqlite":
-        return f"jdbc:sqlite:{db['dbname']}"
+        return f"jdbc:sqlite:{db.get('host') or db['dbname']}"
     if kind not in PORTS:
         raise ValueError(f"unknown database type {kind!r}")
     at = f"{db.get('host', 'localhost')}:{db.get('port') or PORTS[kind]}"
