@@ -4,12 +4,14 @@ Counts of the highest order come from all trusted texts, summed within tasks bef
 orders' continuation counts come from the same exchange, as each gram is sent along with its shorter endings. The
 counts, which grow with the corpus far more slowly than its text, are one table.
 
-Scoring joins documents with the model shard by shard: a shard holds languages, or a part of one language's contexts
-(by the context's last character), of at most SHARD grams, so what is broadcast has a bound at any size of model. All
+Scoring joins documents with the model shard by shard: a shard holds languages, or a range of one language's contexts
+(ordered by their last symbol, then the one before, and so on), of at most SHARD grams; a symbol with more is cut by the
+symbols before it, and a whole context has at most 2 ** BITS grams. So what is broadcast at once has a bound at any size
+of model (SHARD, and at each end of a range the grams of its shorter contexts, at most 2 ** BITS an order). All
 that a gram's probability needs (its context, its shorter endings) is in its shard, so a shard's interpolated
 probabilities and back-off weights come from its counts and its languages' discounts (by language and order, from the
-counts of counts over all shards). A document's log probability is the sum over the shards. Most models are one shard
-and cost one pass without a shuffle.
+counts of counts over all shards). A document's log probability is the sum over the shards. Documents are read once,
+without a shuffle: a task holds a batch of them and one shard after the other.
 
 No document is scored by a model that has seen it: texts are dealt to FOLDS folds by their hash, each fold has a model
 of the trusted texts of the other folds, and every document, trusted or not, is scored by the model of its text's fold
@@ -18,8 +20,9 @@ of the trusted texts of the other folds, and every document, trusted or not, is
 A document is rejected if its perplexity (per character) lies above the upper or below the lower quantile of its
 language's trusted documents; `slack` widens that band by so much of its width on both sides (0: not at all).
 
-Characters are 12-bit symbols: code points below 3072 as they are, others folded by their remainder. Texts are padded
-in front, so that their first characters are predicted, too.
+Characters are 12-bit symbols, one to one: code points below WIDE are one symbol, others two, of a lead and a trail that
+no other character has (as in UTF-16), so no two characters of any script are counted as one. The perplexity is per
+character. Texts are padded in front, so that their first characters are predicted, too.
 
 Edge cases: a null or empty text has a null perplexity and is kept; so is a text in a language without trusted text in
 other folds (null languages are one language); repeated documents each count; labels of a document that disagree make it
@@ -28,7 +31,6 @@ untrusted; empty tables give no rows or keep all; further columns pass through i
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -42,6 +44,9 @@ from pyspark.sql import types as T
 from tablemill.llm.common import Scratch, append, free_name, maybe, read
 
 ORDER, BITS = 5, 12
+#: Symbols: 1 pads, 2 to WIDE + 1 are code points below WIDE, then the leads (a code point's bits above the tenth), and
+#: from TRAIL its lowest ten bits.
+WIDE, TRAIL = 1980, 3072
 SHARD = 3_000_000
 FOLDS = 5
 #: Quantiles of trusted documents' log perplexity, and the part of their distance by which a document may lie outside.
@@ -51,7 +56,11 @@ UNIFORM = 1 / (1 << BITS)
 
 def symbols(text: str, order: int = ORDER) -> np.ndarray:
     cp = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4").astype(np.int64)
-    return np.concatenate([np.ones(order - 1, np.int64), np.where(cp < 3072, cp + 2, 3074 + cp % 1022)])
+    wide = cp >= WIDE
+    out = np.repeat(np.where(wide, WIDE + 2 + (cp >> 10), cp + 2), wide + 1)
+    trails = np.flatnonzero(wide) + np.arange(1, wide.sum() + 1)
+    out[trails] = TRAIL + (cp[wide] & 1023)
+    return np.concatenate([np.ones(order - 1, np.int64), out])
 
 
 def grams(s: np.ndarray, order: int = ORDER) -> np.ndarray:
@@ -142,46 +151,73 @@ def discounts(n: np.ndarray) -> np.ndarray:
     return np.array([min(max(d, 0.01 * j), j - 0.01) for j, d in zip((1, 2, 3), raw)])
 
 
-_BIN = f"cast(shiftright(g, {BITS}) & {(1 << BITS) - 1} as int)"
+def context(order: int = ORDER, depth: int | None = None) -> str:
+    """SQL: a gram's context as one number, its last symbol highest, so that contexts with one ending are a range; of
+    the last `depth` symbols only. A context that is shorter than order - 1 is its range's first number."""
+    if order == 1:
+        return "0L"
+    all_ = " + ".join(f"shiftleft(shiftright(g, {BITS * j}) & {(1 << BITS) - 1}L, {BITS * (order - 1 - j)})" for j in range(1, order))
+    return f"shiftright({all_}, {BITS * (order - 1 - (depth or order - 1))})"
 
 
-def summary(model: DataFrame, order: int = ORDER) -> tuple[list[tuple[str, int, int]], dict[str, np.ndarray]]:
-    """The number of grams longer than one symbol by language and bin (a context's last symbol), sorted, and each
-    language's discounts by order. At most 2 ** BITS rows a language reach the driver."""
+def contexts(g: np.ndarray, order: int = ORDER) -> np.ndarray:
+    """As context(), of grams of the highest order."""
+    out = np.zeros(len(g), np.int64)
+    for j in range(1, order):
+        out = (out << BITS) | ((g >> BITS * j) & ((1 << BITS) - 1))
+    return out
+
+
+def summary(model: DataFrame, order: int = ORDER, most: int = SHARD) -> tuple[list[tuple[str, int, int, int]], dict[str, np.ndarray]]:
+    """(lang, first, last, grams longer than one symbol) by ranges of contexts, sorted, and each language's discounts by
+    order. A range is a context's last symbol, or more symbols where it has more than `most` grams. At most 2 ** BITS
+    rows a language, and a range that is cut, reach the driver."""
     few = [F.count_if((F.col("k") == k) & (F.col("c") == c)).alias(f"n{k}_{c}") for k in range(1, order + 1) for c in (1, 2, 3, 4)]
-    rows = model.groupBy("lang", F.expr(_BIN).alias("bin")).agg(F.count_if(F.col("k") > 1).alias("n"), *few).toArrow()
+    rows = model.groupBy("lang", F.expr(context(order, 1)).alias("bin")).agg(F.count_if(F.col("k") > 1).alias("n"), *few).toArrow()
     langs, of = rows["lang"].to_pylist(), {}
     told = np.stack([rows[k].to_numpy() for k in rows.column_names[3:]], axis=1).reshape(-1, order, 4)
     for lang, n in zip(langs, told):
         of[lang] = of[lang] + n if lang in of else n
-    return sorted(x for x in zip(langs, rows["bin"].to_pylist(), rows["n"].to_pylist()) if x[2]), {k: np.stack([discounts(x) for x in n]) for k, n in of.items()}
-
-
-def shards(sizes: list[tuple[str, int, int]], most: int = SHARD) -> Iterator[list[tuple]]:
-    """Lists of (lang, first, last): the bins of a context's last symbol; each list has at most `most` grams, if one
-    bin of one language has. A gram's bin is its last but one symbol; unigrams are with all bins."""
+    found, out = [x for x in zip(langs, rows["bin"].to_pylist(), rows["n"].to_pylist()) if x[2]], []
+    for depth in range(1, order):
+        free = BITS * (order - 1 - depth)
+        large = [x[:2] for x in found if x[2] > most and free]
+        out += [(lang, p << free, ((p + 1) << free) - 1, n) for lang, p, n in found if n <= most or not free]
+        if not large:
+            break
+        # at most the model's grams / most rows
+        cut = F.broadcast(model.sparkSession.createDataFrame(large, "cut_lang string, cut long"))
+        own = model.where(F.col("k") > depth + 1).join(cut, (F.col("lang") == F.col("cut_lang")) & (F.expr(context(order, depth)) == F.col("cut")))
+        rows = own.groupBy("lang", F.expr(context(order, depth + 1)).alias("bin")).agg(F.count("*").alias("n")).toArrow()
+        found = list(zip(*(rows[c].to_pylist() for c in ("lang", "bin", "n"))))
+    return sorted(out), {k: np.stack([discounts(x) for x in n]) for k, n in of.items()}
+
+
+def shards(sizes: list[tuple[str, int, int, int]], most: int = SHARD) -> Iterator[list[tuple]]:
+    """Lists of (lang, first, last): ranges of contexts; each list has at most `most` grams, if one range has. Grams of
+    contexts that a range only shares, shorter ones, are with all ranges that they reach into."""
     now, held, before = [], 0, None
-    for lang, bin, n in sizes:
+    for lang, first, last, n in sizes:
         if now and held + n > most:
             yield now
             now, held, before = [], 0, None
         if before == lang:
-            now[-1] = (lang, now[-1][1], bin)
+            now[-1] = (lang, now[-1][1], last)
         else:
-            now.append((lang, bin, bin))
+            now.append((lang, first, last))
         held, before = held + n, lang
     if now:
         yield now
 
 
-def _bounds(lists: list[list[tuple]]) -> list[dict[str, tuple[int, int]]]:
-    """Each shard's languages with the range of bins they answer for: a language's ranges follow each other without gaps."""
+def _bounds(lists: list[list[tuple]], order: int = ORDER) -> list[dict[str, tuple[int, int]]]:
+    """Each shard's languages with the range of contexts they answer for: a language's ranges follow each other without gaps."""
     out, open_at = [], {}
     last_of = {lang: k for k, part in enumerate(lists) for lang, _, _ in part}
     for k, part in enumerate(lists):
         out.append({})
         for lang, _, end in part:
-            stop = (1 << BITS) - 1 if last_of[lang] == k else end
+            stop = (1 << BITS * (order - 1)) - 1 if last_of[lang] == k else end
             out[-1][lang] = (open_at.get(lang, 0), stop)
             open_at[lang] = stop + 1
     return out
@@ -208,12 +244,12 @@ def tables(k: np.ndarray, g: np.ndarray, c: np.ndarray, d: np.ndarray, order: in
 
 
 def load(model: DataFrame, part: dict[str, tuple[int, int]], d: dict[str, np.ndarray], order: int = ORDER) -> dict:
-    """One shard: its languages' ranges of bins and tables."""
-    top = (1 << BITS) - 1
+    """One shard: its languages' ranges of contexts and tables."""
+    top, at = (1 << BITS * (order - 1)) - 1, F.expr(context(order))
     mine = F.col("lang").isin([x for x, bins in part.items() if bins == (0, top)])
     for lang, (first, end) in part.items():
         if (first, end) != (0, top):
-            mine = mine | ((F.col("lang") == lang) & ((F.col("k") == 1) | F.expr(_BIN).between(first, end)))
+            mine = mine | ((F.col("lang") == lang) & (at <= end) & (at + F.expr(f"shiftleft(1L, {BITS} * ({order} - k)) - 1") >= first))
     rows = model.where(mine).select("lang", F.col("k").cast("byte").alias("k"), "g", "c").toArrow()
     lang = rows["lang"].combine_chunks().dictionary_encode()
     at, k, g, c = lang.indices.to_numpy(), rows["k"].to_numpy(), rows["g"].to_numpy(), rows["c"].to_numpy()
@@ -226,8 +262,8 @@ def load(model: DataFrame, part: dict[str, tuple[int, int]], d: dict[str, np.nda
 
 def publish(model: DataFrame, order: int = ORDER, shard: int = SHARD) -> list[Broadcast]:
     """The model's shards, made one after the other; the driver holds one at a time and keeps the rest in files."""
-    sizes, d = summary(model, order)
-    return [model.sparkSession.sparkContext.broadcast(load(model, part, d, order)) for part in _bounds(list(shards(sizes, shard)))]
+    sizes, d = summary(model, order, shard)
+    return [model.sparkSession.sparkContext.broadcast(load(model, part, d, order)) for part in _bounds(list(shards(sizes, shard)), order)]
 
 
 def _look(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -237,14 +273,14 @@ def _look(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.nd
 
 
 def log_probability(text: str, shard: tuple, order: int = ORDER, at_once: int = 1 << 20) -> float:
-    """Sum of the log probabilities of the characters whose context ends in the shard's bins."""
+    """Sum of the log probabilities of the characters whose context lies in the shard's range."""
     first, end, tables = shard
     s, total = symbols(text, order), 0.0
     for at in range(0, len(s) - order + 1, at_once):
         g = np.sort(grams(s[at : at + at_once + order - 1], order))  # neighbours are looked up near each other
-        if first > 0 or end < (1 << BITS) - 1:
-            bins = (g >> BITS) & ((1 << BITS) - 1)
-            g = g[(bins >= first) & (bins <= end)]
+        if first > 0 or end < (1 << BITS * (order - 1)) - 1:
+            at_context = contexts(g, order)
+            g = g[(at_context >= first) & (at_context <= end)]
         found, v = _look(tables[False, order], g)
         total += float(v[found].sum(dtype=np.float64))
         g = g[~found]  # few: only these go down the orders
@@ -260,29 +296,32 @@ def log_probability(text: str, shard: tuple, order: int = ORDER, at_once: int =
     return total
 
 
-def score(docs: DataFrame, model: DataFrame | list[Broadcast], scratch: Scratch, *, text: str, lang: str, order: int = ORDER, shard: int = SHARD) -> tuple[DataFrame, str]:
+def score(docs: DataFrame, model: DataFrame | list[Broadcast], *, text: str, lang: str, order: int = ORDER, shard: int = SHARD) -> tuple[DataFrame, str]:
     """docs with their log perplexity per character in a further column, whose name is returned, too."""
     name, total, both = (free_name(docs.columns, x) for x in ("log_perplexity", "total", "both"))
-    # mapInArrow sees the two columns it needs as one
-    out = docs.withColumn(both, F.struct(F.coalesce(F.col(f"`{lang}`"), F.lit("")).alias("l"), F.col(f"`{text}`").alias("t"))).withColumn(total, F.lit(None).cast("double"))
-    for k, held in enumerate(model if isinstance(model, list) else publish(model, order, shard)):
-        if k:
-            out = scratch.table(out, f"pass{k}-{uuid.uuid4().hex}")
-        more = free_name(out.columns, "more")
+    parts = model if isinstance(model, list) else publish(model, order, shard)
 
-        def add(col: pa.Array, held=held) -> list[pa.Array]:
+    def add(col: pa.Array) -> list[pa.Array]:
+        langs, texts = col.field("l").to_pylist(), col.field("t").to_pylist()
+        sums: list[float | None] = [None] * len(texts)
+        for held in parts:
             own = held.value
-            langs, texts = col.field("l").to_pylist(), col.field("t").to_pylist()
-            return [pa.array([log_probability(t, own[x], order) if t and x in own else None for x, t in zip(langs, texts)], pa.float64())]
+            for k, (x, t) in enumerate(zip(langs, texts)):
+                if t and x in own:
+                    sums[k] = (sums[k] or 0.0) + log_probability(t, own[x], order)
+            if len(parts) > 1:
+                del own, held._value  # a worker holds one shard at a time and reads the next one from its file
+        return [pa.array(sums, pa.float64())]
 
-        out = append(out, both, [T.StructField(more, T.DoubleType())], add)
-        out = out.withColumn(total, F.when(F.col(more).isNull(), F.col(total)).otherwise(F.coalesce(F.col(total), F.lit(0.0)) + F.col(more))).drop(more)
+    # mapInArrow sees the two columns it needs as one
+    out = docs.withColumn(both, F.struct(F.coalesce(F.col(f"`{lang}`"), F.lit("")).alias("l"), F.col(f"`{text}`").alias("t")))
+    out = append(out, both, [T.StructField(total, T.DoubleType())], add)
     return out.withColumn(name, -F.col(total) / F.length(F.col(f"`{text}`"))).drop(total, both), name
 
 
-def score_out_of_fold(docs: DataFrame, models: list[list[Broadcast]], scratch: Scratch, *, text: str, lang: str, order: int = ORDER) -> tuple[DataFrame, str]:
+def score_out_of_fold(docs: DataFrame, models: list[list[Broadcast]], *, text: str, lang: str, order: int = ORDER) -> tuple[DataFrame, str]:
     """As score(), each fold's documents by its model. A fold's documents are read apart, so a task holds one shard."""
-    parts = [score(docs.where(fold_of(text, len(models)) == f), m, scratch, text=text, lang=lang, order=order) for f, m in enumerate(models)]
+    parts = [score(docs.where(fold_of(text, len(models)) == f), m, text=text, lang=lang, order=order) for f, m in enumerate(models)]
     return reduce(DataFrame.unionAll, [x for x, _ in parts]), parts[0][1]
 
 
@@ -311,10 +350,10 @@ def judge(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str =
     model = train(trusted, scratch, order, folds)
     models = [publish(without(model, f), order) for f in range(folds)]
     scratch.drop("counts")
-    known, n = score_out_of_fold(trusted, models, scratch, text="text", lang="lang", order=order)
+    known, n = score_out_of_fold(trusted, models, text="text", lang="lang", order=order)
     bounds = scratch.table(limits(known.select("lang", F.col(n).alias("lp")), lower=lower, upper=upper, slack=slack), "limits")
     scratch.drop("trusted")
-    scored, name = score_out_of_fold(docs, models, scratch, text=text, lang=lang, order=order)
+    scored, name = score_out_of_fold(docs, models, text=text, lang=lang, order=order)
     keep, (l, least, most) = free_name(scored.columns, "keep"), (free_name(scored.columns, x) for x in ("l", "least", "most"))
     named = bounds.select(F.col("l").alias(l), F.col("least").alias(least), F.col("most").alias(most))
     # a row a language

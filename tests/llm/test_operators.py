@@ -597,23 +597,42 @@ def brute_model(texts, order):
     return p
 
 
-@pytest.mark.parametrize("shard", [quality.SHARD, 40])
+@pytest.mark.parametrize("shard", [quality.SHARD, 40, 1])
 def test_kneser_ney_equals_brute_force(spark, shard):
-    texts = ["the cat sat on the mat", "the dog sat", "a cat and a dog", "mat the hat"]
+    texts = ["the cat sat on the mat", "the dog sat", "a cat and a dog", "mat the hat", "猫はマットの上に座った"]
     scratch = Scratch(spark, "test")
     model = scratch.table(quality.train(spark.createDataFrame([("en", t) for t in texts], "lang string, text string").repartition(3), scratch, 3), "model")
-    tests = ["the cat", "zzz", "a", "hat dog é日", None, ""]
-    out, name = quality.score(docs(spark, list(enumerate(tests))), model, scratch, text="text", lang="lang", order=3, shard=shard)
+    tests = ["the cat", "zzz", "a", "hat dog é日", "犬はマットの上", "\U0001f600猫", None, ""]
+    out, name = quality.score(docs(spark, list(enumerate(tests))), model, text="text", lang="lang", order=3, shard=shard)
     got = {r.doc_id: r[name] for r in out.collect()}
     p = brute_model(texts, 3)
     for k, t in enumerate(tests):
         if t:
-            want = -np.mean([np.log(p(g, 3)) for g in quality.grams(quality.symbols(t, 3), 3).tolist()])
+            want = -sum(np.log(p(g, 3)) for g in quality.grams(quality.symbols(t, 3), 3).tolist()) / len(t)
             assert got[k] == pytest.approx(want, rel=1e-4)
         else:
             assert got[k] is None
 
 
+def test_symbols_are_one_to_one():
+    every = [tuple(quality.symbols(chr(c), 1)) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    assert len(set(every)) == len(every) and {x for s in every for x in s} <= set(range(2, 1 << quality.BITS))
+    one, lead, trail = ({s[k] for s in every if len(s) == n} for n, k in ((1, 0), (2, 0), (2, 1)))
+    assert not (one & lead or one & trail or lead & trail)  # so texts are one to one, too
+
+
+def test_a_large_bin_is_cut_by_the_symbols_before(spark):
+    scratch = Scratch(spark, "test")
+    rng = random.Random(8)
+    texts = [("en", "".join(rng.choice("abcdefgh") + rng.choice("abcdefgh") + "x" + rng.choice("abcdefgh") for _ in range(200)))]
+    model = scratch.table(quality.train(spark.createDataFrame(texts, "lang string, text string"), scratch, 4), "model")
+    sizes, d = quality.summary(model, 4, 60)
+    parts = quality._bounds(list(quality.shards(sizes, 60)), 4)
+    assert sum(n for *_, n in quality.summary(model, 4)[0]) > 600 and len(parts) > 5
+    held = [sum(len(v[0]) for (kind, _), v in quality.load(model, p, d, 4)["en"][2].items() if not kind) for p in parts]
+    assert max(held) <= 60 + 2 * 3 * 9 + 9  # and the shorter contexts at both ends, of at most 9 symbols each
+
+
 def test_quality_keeps_clean_and_rejects_junk(spark):
     rng = random.Random(9)
     word = lambda: "".join(rng.choice(["ta", "ri", "mo", "sel"]) for _ in range(rng.randrange(1, 4)))
