@@ -6,7 +6,7 @@ far the window can move for the block under its end, and where the shift is zero
 first word, names the few windows that are then compared word by word.
 
 The benchmark is read in blocks of bounded size, so a set of any size is searched in bounded memory: one pass a block,
-the rows carried on from one pass to the next in the shared folder. Documents are never shuffled.
+the rows carried on from one pass to the next in the shared folder, which holds at most two passes. Documents are never shuffled.
 
 Edge cases: null or wordless texts give zero counts and are not contaminated; items with a null text or no words have
 no windows; items with a null id mark words as hit but are not counted or listed; repeated documents and items each
@@ -28,7 +28,8 @@ from pyspark.sql import types as T
 from tablemill.llm.common import Scratch, append, free_name, read, words
 
 WINDOW = 10
-BLOCK_BYTES = 8 << 20
+#: 2 MB of text make about 300 MB of tables in a Python worker.
+BLOCK_BYTES = 2 << 20
 FOUND = T.StructType([
     T.StructField("n_words", T.LongType()),
     T.StructField("spans", T.ArrayType(T.LongType())),
@@ -146,6 +147,7 @@ def find(docs: DataFrame, bench: DataFrame, *, text: str = "text", item: str = "
             out = append(docs, text, [T.StructField(name, FOUND)], lambda col, held=held: [pa.array([search(x, _tables(held, size)) for x in col.to_pylist()], _ARROW)])
             continue
         prior, extra = scratch.table(out, f"pass{k}"), free_name([*out.columns], "more")
+        scratch.drop(f"pass{k - 1}")  # what pass k - 1 carried on is in pass k
         both = append(prior, text, [T.StructField(extra, FOUND)], lambda col, held=held: [pa.array([search(x, _tables(held, size)) for x in col.to_pylist()], _ARROW)])
         out = both.withColumn(name, F.struct(F.col(f"{name}.n_words").alias("n_words"), F.concat(f"{name}.spans", f"{extra}.spans").alias("spans"), F.array_union(f"{name}.items", f"{extra}.items").alias("items"))).drop(extra)
     return out, name
