@@ -82,7 +82,7 @@ def fold_of(text: str, folds: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(3), F.col(f"`{text}`")), F.lit(folds)).cast("int")
 
 
-def counts(trusted: DataFrame, order: int = ORDER, held: int = 1_000_000, folds: int = 1) -> DataFrame:
+def counts(trusted: DataFrame, order: int = ORDER, held: int = 4_000_000, folds: int = 1) -> DataFrame:
     """trusted has lang and text; lang, k, g, n0 to the last fold's: the grams of the highest order with their counts by
     fold, and each ending of theirs of k symbols with some number above 0 for the folds that have it. A task sums what
     it can hold before it hands on."""
@@ -117,8 +117,8 @@ def counts(trusted: DataFrame, order: int = ORDER, held: int = 1_000_000, folds:
                 for key, gs in by.items():
                     new = np.unique(np.concatenate(gs), return_counts=True)
                     mine[key] = _merge(mine[key], new) if key in mine else new
-            if sum(len(g) for g, _ in mine.values()) > held:
-                yield from out()
+                if sum(len(g) for g, _ in mine.values()) > held:
+                    yield from out()
         yield from out()
 
     found = trusted.select("lang", "text", fold_of("text", folds)).mapInArrow(run, "lang string, k int, g long, " + ", ".join(f"{n} long" for n in names))
