@@ -8,6 +8,8 @@ from typing import Any
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: How much of a failed job's message is told.
+ERROR_CHARS = 500
 _NAME = re.compile(r"\{(\w+)\}")
 
 

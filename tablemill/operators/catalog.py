@@ -159,3 +159,9 @@ def merge_config(static: DataFrame, found: DataFrame) -> DataFrame:
 def is_running(running: DataFrame, job: str, args_json: str) -> bool:
     """FLT-18."""
     return running.where((F.col("job") == job) & (F.col("args") == args_json)).limit(1).count() > 0
+
+
+def running(runs: DataFrame, asked: DataFrame) -> DataFrame:
+    """FLT-18 for many: whether a run of each asked job goes on with equal arguments."""
+    now = runs.select("job", "args").distinct().withColumn("running", F.lit(True))
+    return asked.join(now, ["job", "args"], "left").withColumn("running", F.coalesce("running", F.lit(False)))

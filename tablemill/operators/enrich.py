@@ -64,9 +64,10 @@ def enriched(df: DataFrame, source: list[str], mapped: list[Column], stamp: str
     return df.select(*source, *mapped, *([F.lit(as_of).alias(stamp)] if stamp else []))
 
 
-def object_groups(objects: DataFrame, groups: dict[str, str], most_bytes: int = 10 << 20, most: int = 50) -> DataFrame:
+def object_groups(objects: DataFrame, groups: dict[str, str], most_bytes: int = 10 << 20, most: int = 50, by: Column | None = None) -> DataFrame:
     """SRC-13, FLT-10, WIN-5: objects have key, size and body; the first group whose text the key holds takes an object;
-    large objects are left out, and a group takes its first `most` by key, in base64. The cap is the operator's feature."""
+    large objects are left out, and a group takes its first `most` by key, in base64. The cap is the operator's feature.
+    With `by`, groups are apart for each of its values, in a column under__."""
     from tablemill.functions.text import plain_base64
 
     group = None
@@ -74,8 +75,10 @@ def object_groups(objects: DataFrame, groups: dict[str, str], most_bytes: int =
         hit = F.col("key").contains(part)
         group = F.when(hit, name) if group is None else group.when(hit, name)
     own = objects.where(F.col("size") <= most_bytes).withColumn("grp", group).where("grp IS NOT NULL")
-    w = Window.partitionBy("grp").orderBy("key")
-    return own.withColumn("pos", F.row_number().over(w).cast("bigint")).where(F.col("pos") <= most).select("grp", "pos", "key", plain_base64(F.col("body")).alias("content"))
+    under = [] if by is None else ["under__"]
+    own = own if by is None else own.withColumn("under__", by)
+    w = Window.partitionBy(*under, "grp").orderBy("key")
+    return own.withColumn("pos", F.row_number().over(w).cast("bigint")).where(F.col("pos") <= most).select(*under, "grp", "pos", "key", plain_base64(F.col("body")).alias("content"))
 
 
 def validate(table: dict, api: dict) -> None:

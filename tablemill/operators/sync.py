@@ -24,10 +24,12 @@ def delta(df: DataFrame, column: str, after=None, floor=None, floor_column: str
 
 
 def delta_from_target(source: DataFrame, target: DataFrame, column: str, overlap_minutes: int = 30, first=None) -> DataFrame:
-    """FLT-4, AGG-2: after the target's latest row less the overlap; from `first` on if the target is empty. One row is broadcast."""
+    """FLT-4, AGG-2: after the target's latest row less the overlap; from `first` on if the target is empty. That one
+    value is read first, so that the comparison is a filter of the scan; no cutoff (null) leaves no rows."""
     latest = target.agg(F.max(column).alias("latest__"))
-    start = F.coalesce(F.expr(f"latest__ - interval {int(overlap_minutes)} minutes"), F.lit(first))
-    return source.join(F.broadcast(latest.select(start.alias("after__"))), F.col(column) > F.col("after__")).drop("after__")
+    start = latest.select(F.coalesce(F.expr(f"latest__ - interval {int(overlap_minutes)} minutes"), F.lit(first)).alias("after__"))
+    value = start.select(F.col("after__").cast("string")).first()[0]
+    return source.where(F.col(column) > F.lit(value).cast(start.schema["after__"].dataType))
 
 
 def project(df: DataFrame, *, drop: list[str] = (), types: dict[str, str] | None = None, required: list[str] = ()) -> DataFrame:
@@ -121,7 +123,27 @@ def watermarks(states: DataFrame) -> DataFrame:
     return states.groupBy("config_key", "timestamp_column").agg(F.max_by("value", F.struct("updated_at", "value")).alias("value"), F.max("updated_at").alias("updated_at"))
 
 
-def running_max(df: DataFrame, column: str, part: str) -> DataFrame:
-    """AGG-3 by part: the mark after each micro-batch."""
+def running_max(df: DataFrame, column: str, part: str, blocks: int = 64) -> DataFrame:
+    """AGG-3 by part, a number or time: the mark after each micro-batch. Batches are dealt to `blocks` ranges by their
+    approximate quantiles, which are read first; a range needs only the greatest mark of the ranges before it."""
     per = df.groupBy(part).agg(F.max(column).alias("batch_max"))
-    return per.withColumn("watermark", F.max("batch_max").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, 0)))
+    bounds = df.agg(F.expr(f"percentile_approx({part}, array({', '.join(str(k / blocks) for k in range(1, blocks))}))").alias("b")).first().b or []
+    cuts = F.array(*[F.lit(b).cast(df.schema[part].dataType) for b in dict.fromkeys(bounds)]) if bounds else F.array().cast("array<int>")
+    per = per.withColumn("block__", F.when(F.col(part).isNull(), -1).otherwise(F.size(F.filter(cuts, lambda b: b < F.col(part)))) if bounds else F.lit(0))
+    upto = Window.partitionBy("block__").orderBy(part).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.orderBy("block__").rowsBetween(Window.unboundedPreceding, -1)  # at most blocks + 1 rows
+    ahead = per.groupBy("block__").agg(F.max("batch_max").alias("top__")).select("block__", F.max("top__").over(before).alias("ahead__"))
+    out = per.withColumn("own__", F.max("batch_max").over(upto)).join(F.broadcast(ahead), "block__")
+    return out.select(part, "batch_max", F.greatest("own__", "ahead__").alias("watermark"))
+
+
+def merge_counts(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """AGG-6: candidates, those that replace a row of the target, and those that are new."""
+    known = target.select(*[F.col(k).alias(f"t__{k}") for k in keys], F.lit(True).alias("known__")).distinct()
+    on = [F.col(k) == F.col(f"t__{k}") for k in keys]
+    return source.select(*keys).join(known, on, "left").agg(F.count("*").alias("candidates"), F.count("known__").alias("replaced"), F.count_if(F.col("known__").isNull()).alias("added"))
+
+
+def ordered_scan(df: DataFrame, column: str) -> DataFrame:
+    """SRT-1: rows by the watermark column within each partition, without an exchange."""
+    return df.sortWithinPartitions(column)

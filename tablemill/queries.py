@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from tablemill.functions import naming, text, timespec
 from tablemill.operators import catalog, enrich, quality, sync
-from tablemill.sources import metadata
+from tablemill.operators.context import Context, run_queries, with_objects
+from tablemill.plans import enrich as rows
+from tablemill.plans import tables as made
+from tablemill.sources import metadata, registry
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -652,6 +655,185 @@ def table_names(spark, d):
     return rel(spark, EDGES, ECOLS).select("src", naming.schema_of(F.col("src")).alias("schema"), naming.table_of(F.col("src")).alias("tbl"), text.shorten(F.col("label"), 3).alias("cut"))
 
 
+# ---- rows enriched by one plan -------------------------------------------------------------------------------------------------
+
+
+def answer(method, url, body, headers, timeout):
+    """A transport that answers from the URL and the body alone: some requests fail, some have no answer or no items."""
+    import json
+
+    key = int(url.rsplit("=", 1)[1])
+    if key % 11 == 0:
+        raise OSError("refused")
+    if key % 7 == 0:
+        return None
+    asked = json.loads(body)
+    found = [] if key % 5 == 0 else [{"label": asked["segment"]}, {"label": asked["where"]["region"]}][: 1 + key % 2]
+    return json.dumps({"found": {"items": found}, "scores": [key * 2, key * 3, key * 5], "tags": [f"t{key % 3}", {"name": "all"}]})
+
+
+def _plan(**more):
+    chain = [
+        {"name": "nat", "db": "ref", "sql": "SELECT n_name, n_regionkey FROM nation WHERE n_nationkey = :c_nationkey"},
+        {"name": "reg", "db": "ref", "sql": "SELECT r_name FROM region WHERE r_regionkey = :n_regionkey", "bind_from": "nat"},
+    ]
+    child = {"target_table": "tags", "json_path": "tags", "parent_key": "c_custkey", "foreign_key": "custkey", "mapping": [{"json_path": "name", "column": "tag"}]}
+    given = dict(
+        target_table="scored", source_columns=["c_custkey", "c_mktsegment"], url="mem://x?region={r_name}&key={c_custkey}", method="POST", queries=chain,
+        body={"segment": "{c_mktsegment}", "where": {"region": "{r_name}"}}, merge=[{"json_path": "found.items", "prefix": "item"}, {"json_path": "scores", "prefix": "score"}],
+        mapping=[{"json_path": "item.label", "column": "label"}, {"json_path": "score", "column": "score", "type": "bigint"}], stamp="at", children=[child],
+    )
+    return rows.EnrichPlan(**(given | more))
+
+
+def _dbs(spark, d):
+    return {"ref": {n: t(spark, d, n) for n in ("nation", "region", "orders")}}
+
+
+def _answers(spark, d, plan) -> DataFrame:
+    return rows.with_outcome(plan, rows.ask(plan, t(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"), _dbs(spark, d), transport=answer))
+
+
+ANSWERS = """c AS (SELECT c_custkey, c_mktsegment, r_name, CASE WHEN c_custkey % 11 = 0 THEN 'failed' WHEN c_custkey % 7 = 0 THEN 'skipped' WHEN c_custkey % 5 = 0 THEN 'empty' ELSE 'ok' END AS status
+FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey)"""
+SCORED = "SELECT c_custkey, c_mktsegment, CASE i WHEN 0 THEN c_mktsegment ELSE r_name END AS label, c_custkey * CASE i WHEN 0 THEN 2 ELSE 3 END AS score FROM c, range(0, 2) AS r(i) WHERE status = 'ok' AND i <= c_custkey % 2"
+TAGGED = "SELECT c_custkey AS custkey, CASE i WHEN 0 THEN 't' || (c_custkey % 3) ELSE 'all' END AS tag FROM c, range(0, 2) AS r(i) WHERE status IN ('ok', 'empty')"
+
+
+@query(f"WITH {ANSWERS} {SCORED}")
+def enrich_rows(spark, d):
+    plan = _plan()
+    return rows.enriched(plan, _answers(spark, d, plan), datetime(2024, 1, 1)).drop("at")
+
+
+@query(f"WITH {ANSWERS} SELECT status, count(*) AS n FROM c GROUP BY 1")
+def enrich_outcomes(spark, d):
+    return rows.outcomes(_answers(spark, d, _plan()))
+
+
+@query(f"WITH {ANSWERS} {TAGGED}")
+def enrich_children(spark, d):
+    plan = _plan()
+    return rows.child_rows(plan.children[0], _answers(spark, d, plan), None, None)
+
+
+@query(f"WITH {ANSWERS}, s AS ({SCORED}), g AS ({TAGGED}) SELECT 'scored' AS tbl, count(*) AS n, CAST(sum(score) AS BIGINT) AS total FROM s UNION ALL SELECT 'tags', count(*), CAST(sum(custkey) AS BIGINT) FROM g UNION ALL SELECT 'written', (SELECT count(*) FROM s) + (SELECT count(*) FROM g), NULL")
+def enrich_parent_and_children(spark, d):
+    from tablemill.plans.store import TableStore
+
+    store = TableStore(spark, f"{_folder(spark)}/store")
+    told = rows.run(_plan(), t(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"), _dbs(spark, d), store, datetime(2024, 1, 1), transport=answer)
+    count = lambda name, c: store.read(name).agg(F.lit(name).alias("tbl"), F.count("*").alias("n"), F.sum(c).alias("total"))
+    return count("scored", "score").unionByName(count("tags", "custkey")).unionByName(spark.sql(f"SELECT 'written' AS tbl, {told['rows']}L AS n, CAST(NULL AS BIGINT) AS total"))
+
+
+@query("SELECT c_custkey, n_name, r_name, count(o_orderkey) AS n, CAST(coalesce(sum(o_orderkey), 0) AS BIGINT) AS total FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey LEFT JOIN orders ON o_custkey = c_custkey AND o_orderstatus <> ':c_custkey' GROUP BY 1, 2, 3")
+def user_sql_binds(spark, d):
+    ctx = Context(t(spark, d, "customer").select("c_custkey", "c_nationkey"), ["c_custkey", "c_nationkey"])
+    many = {"name": "own", "db": "ref", "sql": "SELECT o_orderkey FROM orders WHERE o_custkey = :c_custkey AND o_orderstatus <> ':c_custkey'", "many": True}
+    ctx = run_queries(ctx, [*_plan().queries, many], _dbs(spark, d))
+    n = F.expr("aggregate(own, 0L, (a, x) -> a + x.o_orderkey)")
+    return ctx.df.select("c_custkey", ctx.get("n_name").alias("n_name"), ctx.get("r_name").alias("r_name"), F.size("own").cast("bigint").alias("n"), n.alias("total"))
+
+
+@query("SELECT c_custkey, n_name AS by_query, n_regionkey AS plain, CAST(NULL AS VARCHAR) AS from_list, CAST(NULL AS VARCHAR) AS unknown, CAST(0 AS BIGINT) AS n_unknown FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey")
+def context_get(spark, d):
+    ctx = Context(t(spark, d, "customer").select("c_custkey", "c_nationkey"), ["c_custkey", "c_nationkey"])
+    ctx = run_queries(ctx, [_plan().queries[0], {"name": "none", "db": "gone", "sql": "SELECT 1", "many": True}], _dbs(spark, d))
+    null = lambda key: ctx.get(key).cast("string")
+    return ctx.df.select("c_custkey", ctx.get("nat.n_name").alias("by_query"), ctx.get("n_regionkey").alias("plain"), null("none.x").alias("from_list"), null("$collections.x").alias("unknown"), F.size("none").cast("bigint").alias("n_unknown"))
+
+
+@query("""WITH o AS (SELECT source, lang, doc_id, octet_length(encode(text)) AS size, row_number() OVER (PARTITION BY source, CASE WHEN contains('/' || lang || '-', 'en') THEN 'en' WHEN contains('/' || lang || '-', '-') THEN 'rest' END ORDER BY source || '/' || lang || '-' || doc_id) AS pos, CASE WHEN contains('/' || lang || '-', 'en') THEN 'en' ELSE 'rest' END AS g, lang || '-' || doc_id AS k FROM documents WHERE text IS NOT NULL AND octet_length(encode(text)) <= 400)
+SELECT s.source, coalesce(string_agg(base64(encode(k)), ',' ORDER BY pos) FILTER (g = 'en' AND pos <= 3), '') AS en, coalesce(string_agg(base64(encode(k)), ',' ORDER BY pos) FILTER (g = 'rest' AND pos <= 3), '') AS rest FROM (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL) s LEFT JOIN o ON o.source = s.source GROUP BY 1""")
+def objects_by_row(spark, d):
+    docs = t(spark, d, "documents").where("text IS NOT NULL AND source IS NOT NULL AND lang IS NOT NULL")
+    name = F.concat("lang", F.lit("-"), F.col("doc_id").cast("string"))
+    objects = docs.select(F.concat("source", F.lit("/"), name).alias("key"), F.octet_length("text").alias("size"), name.cast("binary").alias("body"))
+    ctx = with_objects(Context(t(spark, d, "documents").where("source IS NOT NULL").select("source").distinct(), ["source"]), objects, "{source}/", {"en": "en", "rest": "-"}, 400, 3)
+    return ctx.df.select("source", F.array_join("en", ",").alias("en"), F.array_join("rest", ",").alias("rest"))
+
+
+def _spread(row):
+    """A row pipeline's function: a row a digit; some rows are left out, some fail."""
+    if row["o_orderkey"] % 10 == 3:
+        raise rows.SkipRow("three")
+    return [{"key": row["o_orderkey"], "part": 12 // (row["o_orderkey"] % 10) + k} for k in range(row["o_orderkey"] % 4)]
+
+
+SPREAD = "CASE WHEN o_orderkey % 10 = 3 THEN 'skipped' WHEN o_orderkey % 4 = 0 THEN 'skipped' WHEN o_orderkey % 10 = 0 THEN 'failed' ELSE 'ok' END"
+
+
+@query(f"SELECT o_orderkey AS key, 12 // (o_orderkey % 10) + i AS part FROM orders, range(0, 3) AS r(i) WHERE {SPREAD} = 'ok' AND i < o_orderkey % 4")
+def row_pipeline(spark, d):
+    return rows.row_pipeline(t(spark, d, "orders").select("o_orderkey"), _spread, "key bigint, part bigint").where("status = 'ok'").select("key", "part")
+
+
+@query(f"SELECT {SPREAD} AS status, count(*) AS n FROM orders GROUP BY 1")
+def row_pipeline_counts(spark, d):
+    return rows.pipeline_counts(rows.row_pipeline(t(spark, d, "orders").select("o_orderkey"), _spread, "key bigint, part bigint"))
+
+
+# ---- tables, constraints and catalog scans -----------------------------------------------------------------------------------
+
+
+@query("SELECT 'candidates' AS what, count(*) AS n FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT 'replaced', count(*) FROM orders WHERE o_orderkey % 6 = 0 UNION ALL SELECT 'added', count(*) FROM orders WHERE o_orderkey % 6 = 3")
+def merge_counts(spark, d):
+    orders = t(spark, d, "orders").select("o_orderkey")
+    n = sync.merge_counts(orders.where("o_orderkey % 2 = 0"), orders.where("o_orderkey % 3 = 0"), ["o_orderkey"])
+    return n.select(F.expr("stack(3, 'candidates', candidates, 'replaced', replaced, 'added', added) AS (what, n)"))
+
+
+@query("SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderstatus = 'O'")
+def bound_scan(spark, d):
+    db = {"type": "parquet", "dbname": d, "tables": ["orders"]}
+    return registry.read_sql(spark, db, "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= CAST(:since AS TIMESTAMP_NTZ) AND o_orderstatus = :status", {"since": "1995-01-01", "status": "O"}, order_by="o_orderdate")
+
+
+@query("SELECT event_id, ts FROM events")
+def ordered_scan(spark, d):
+    return sync.ordered_scan(t(spark, d, "events").select("event_id", "ts"), "ts")
+
+
+@query("SELECT c_custkey, c_name FROM customer")
+def target_columns(spark, d):
+    return sync.like(t(spark, d, "customer"), spark.createDataFrame([], "c_custkey bigint, c_name string"))
+
+
+@query("SELECT * FROM (SELECT 'text' AS col, count_if(text IS NULL) AS nulls FROM documents UNION ALL SELECT 'odd', count_if(doc_id % 2 = 0) FROM documents UNION ALL SELECT 'doc_id', count_if(doc_id IS NULL) FROM documents) WHERE nulls > 0")
+def required_columns(spark, d):
+    return made.missing_values(t(spark, d, "documents").withColumn("odd", F.expr("if(doc_id % 2 = 0, NULL, 1)")), ["text", "odd", "doc_id"])
+
+
+@query("SELECT 'main' AS db, 'orders' AS tbl, 'unique' AS kind, 'o_orderkey' AS cols, 0 AS bad UNION ALL SELECT 'main', 'orders', 'unique', 'o_custkey,o_orderstatus', (SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_custkey, o_orderstatus HAVING count(*) > 1)) UNION ALL SELECT 'main', 'events', 'not_null', 'user_id,props', (SELECT count(*) FROM events WHERE user_id IS NULL OR props IS NULL)")
+def declared_constraints(spark, d):
+    given = [("orders", "unique", ["o_orderkey"]), ("orders", "unique", ["o_custkey", "o_orderstatus"]), ("events", "not_null", ["user_id", "props"])]
+    return made.violations({("main", n): t(spark, d, n) for n in ("orders", "events")}, [{"db": "main", "tbl": n, "kind": k, "cols": c} for n, k, c in given])
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS tbl, column_name AS col, row_number() OVER () AS ordinal, TRUE AS nullable FROM (DESCRIBE {n})" for n in ("customer", "nation", "orders")))
+def column_ordinals(spark, d):
+    found = metadata.columns(spark, {("main", n): t(spark, d, n) for n in ("customer", "nation", "orders")})
+    return found.select("tbl", "col", "ordinal", "nullable")
+
+
+@query("SELECT 'public' AS schema, 'nation' AS tbl, n_name AS col, 'n_nationkey' AS pk, CAST(1 AS BIGINT) AS indexes, CAST(2 AS BIGINT) AS fks FROM nation UNION ALL SELECT 'sales', 'region', r_name, NULL, 0, 0 FROM region")
+def scanned_schemas(spark, d):
+    one = t(spark, d, "nation").select(F.lit("public").alias("schema"), F.lit("nation").alias("tbl"), F.col("n_name").alias("col"))
+    two = t(spark, d, "region").select(F.explode(F.array(F.lit("sales"), F.lit("pg_catalog"))).alias("schema"), F.lit("region").alias("tbl"), F.col("r_name").alias("col"))
+    key = {"db": "public", "tbl": "nation"}
+    known = made.catalog(spark, [key | {"kind": "pk", "cols": ["n_nationkey"]}, key | {"kind": "index", "cols": ["n_name"]}, key | {"kind": "fk", "cols": ["n_regionkey"], "ref_tbl": "region", "ref_cols": ["r_regionkey"]}, key | {"kind": "fk", "cols": ["n_name"]}])
+    return metadata.scan_schemas(one.unionByName(two), "postgresql", known)
+
+
+@query("SELECT user_id, event_type, count(*) > 0 AS running FROM events WHERE event_type = 'click' AND user_id IS NOT NULL GROUP BY 1, 2")
+def duplicate_runs(spark, d):
+    """FLT-18 for all jobs at once."""
+    runs = t(spark, d, "events").where("user_id IS NOT NULL").select(F.col("user_id").alias("job"), F.col("event_type").alias("args"))
+    asked = runs.select("job").distinct().withColumn("args", F.lit("click"))
+    return catalog.running(runs, asked).where("running").select(F.col("job").alias("user_id"), F.col("args").alias("event_type"), "running")
+
+
 # ---- streams -----------------------------------------------------------------------------------------------------------------
 
 

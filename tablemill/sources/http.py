@@ -5,9 +5,11 @@ from __future__ import annotations
 import json
 import urllib.request
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 
 def urllib_transport(method: str, url: str, body: str | None, headers: dict[str, str], timeout: float) -> str:
@@ -16,20 +18,24 @@ def urllib_transport(method: str, url: str, body: str | None, headers: dict[str,
         return r.read().decode()
 
 
-def fetch(df: DataFrame, *, method: str = "GET", url: str = "url", body: str | None = None, headers: dict[str, str] | None = None, timeout: float = 10, transport: Callable = urllib_transport) -> DataFrame:
-    """df with the response's text; null where a request fails, so that the row is skipped and others go on. A request a row."""
+def fetch(df: DataFrame, *, method: str = "GET", url: str = "url", body: str | None = None, headers: dict[str, str] | None = None, timeout: float = 10, transport: Callable = urllib_transport, workers: int = 1, error: str | None = None) -> DataFrame:
+    """df with the response's text; null where a request fails, so that the row is skipped and others go on. A request a
+    row, `workers` of a task at a time; `error` names a column for what a failed request raised."""
+
+    def ask(u, b) -> tuple[str | None, str | None]:
+        try:
+            return transport(method, u, b, headers or {}, timeout), None
+        except Exception as e:  # noqa: BLE001
+            return None, f"{type(e).__name__}: {e}"[:200]
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in parts:
-            got = []
-            for u, b in zip(p[url], p[body] if body else [None] * len(p)):
-                try:
-                    got.append(transport(method, u, b, headers or {}, timeout))
-                except Exception:  # noqa: BLE001
-                    got.append(None)
-            yield p.assign(response=pd.Series(got, index=p.index, dtype=object))
+        with ThreadPoolExecutor(workers) as pool:
+            for p in parts:
+                got = list(pool.map(ask, p[url], p[body] if body else [None] * len(p)))
+                more = {"response": [r for r, _ in got]} | ({error: [e for _, e in got]} if error else {})
+                yield p.assign(**{k: pd.Series(v, index=p.index, dtype=object) for k, v in more.items()})
 
-    return df.mapInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", response string")
+    return df.mapInPandas(run, T.StructType([*df.schema.fields, *(T.StructField(n, T.StringType()) for n in ["response", *([error] if error else [])])]))
 
 
 def fetch_batches(df: DataFrame, *, url: str, key: str, batch_key: str, array: str | None = None, id_field: str | None = None, method: str = "POST", headers: dict[str, str] | None = None, timeout: float = 10, size: int = 500, transport: Callable = urllib_transport) -> DataFrame:

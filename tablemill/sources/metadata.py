@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemill.functions.naming import split_name
+from tablemill.functions.naming import split_name, user_schemas
 
 COLUMNS = "db string, tbl string, col string, type string, nullable boolean, ordinal bigint, pk string"
 
@@ -19,6 +19,25 @@ def columns(spark: SparkSession, tables: dict[tuple[str, str], DataFrame], keys:
     return spark.createDataFrame(rows, COLUMNS)
 
 
+def column_details(spark: SparkSession, tables: dict[tuple[str, str], DataFrame]) -> DataFrame:
+    """SRC-10, WIN-6: a row a column: type with its precision, scale, length and element type, from the DataFrame's schema."""
+    rows = []
+    for (db, t), df in tables.items():
+        for k, f in enumerate(df.schema, 1):
+            d, length = f.dataType, getattr(f.dataType, "length", None) or f.metadata.get("length")
+            rows.append((db, t, f.name, k, d.typeName(), f.nullable, getattr(d, "precision", None), getattr(d, "scale", None), length, d.elementType.simpleString() if d.typeName() == "array" else None))
+    return spark.createDataFrame(rows, "db string, tbl string, col string, ordinal bigint, type string, nullable boolean, precision bigint, scale bigint, max_length bigint, element string")
+
+
+def scan_schemas(details: DataFrame, kind: str, constraints: DataFrame) -> DataFrame:
+    """SRC-11, FLT-7: columns of the schemas that are no system's, each with its table's declared primary key, and how
+    many indexes and references the table declares. details has schema, tbl, col; constraints is tables.catalog()'s."""
+    per = constraints.groupBy(F.col("db").alias("schema"), "tbl").agg(
+        F.max(F.when(F.col("kind") == "pk", F.array_join("cols", ","))).alias("pk"), F.count_if(F.col("kind") == "index").alias("indexes"), F.count_if(F.col("kind") == "fk").alias("fks"))
+    out = user_schemas(details, kind).join(per, ["schema", "tbl"], "left")
+    return out.fillna(0, ["indexes", "fks"])
+
+
 def row_counts(tables: dict[tuple[str, str], DataFrame], at: str) -> DataFrame:
     """SRC-12, AGG-5, STR-6: a row a table; counting reads no columns."""
     out = None
