@@ -31,7 +31,7 @@ from tablemill.llm.common import Scratch, read
 
 CAPACITY, GRAIN, END = 4096, 16, 2
 TOKENIZER = "word_bpe_49k.json"
-CACHE = 800_000
+CACHE = 400_000
 
 
 def tokenizer_path(name: str) -> str:
