@@ -14,8 +14,12 @@ Groups of copies are never expanded into pairs. Equal sets become one representa
 linked to the smallest of them, those links are confirmed and joined to components, and only then are further pairs of
 a key compared: those whose texts are still in different components. So a group of n near copies costs n links, and
 no link between components is lost. Keys above TILE texts are dealt in tiles: their texts of the key's largest component
-are met by the others only, not by each other, and where the others are more than a tile, a star among them is linked
-first, up to ROUNDS times, which leaves the fewer to be dealt. So no comparing task holds a whole key.
+are met by the others only, not by each other. So no comparing task holds a whole key.
+
+Where those others are more than a tile, the key's texts are dealt anew, by shingles: two sets that reach the similarity
+share one of the rarest shingles of either, among as many as the similarity lets them differ in, and one more (`rare`).
+So no link is lost, and texts that share a key by a common passage only hardly meet. Texts that share such a shingle are
+treated like those that share a key: a star among them is linked first, and then components meet, in tiles if need be.
 
 Signatures, keys that several texts share, links and components are written to the shared folder. The driver sees none.
 """
@@ -44,7 +48,8 @@ _ADD = _rng.integers(0, 2**63, PLACES, dtype=np.uint64)
 _MASKS = [m for m in combinations(range(CHUNK), CHUNK - ERRORS)]
 WORDS_KEPT = 200_000
 SMALL, BINS = 256, 2048
-ROUNDS = 4
+STAR = 16
+RANKS = 2**18
 
 _hashes: dict[bytes, int] = {}
 
@@ -171,6 +176,12 @@ def shared_keys(reps: DataFrame) -> DataFrame:
                 k = keys(_signatures(part.column("sig")))
                 yield pa.RecordBatch.from_arrays([pa.array(k.ravel()), pa.array(np.repeat(part.column("doc").to_numpy(), k.shape[1]))], names=["key", "doc"])
 
+    return several(reps.where("length(sig) > 0").select("doc", "sig").mapInArrow(emit, "key long, doc long"))
+
+
+def several(rows: DataFrame) -> DataFrame:
+    """key, doc and the key's smallest doc as its center, of the keys with several of the rows (key, doc)."""
+
     def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows are sorted by key and doc. A key's first row waits until a second one comes, perhaps in the next batch."""
         key = center = None
@@ -189,8 +200,42 @@ def shared_keys(reps: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["key", "doc", "center"])
             key, center, waits = k[-1], centers[-1], bool(first[-1])
 
-    dealt = reps.where("length(sig) > 0").select("doc", "sig").mapInArrow(emit, "key long, doc long").repartition(F.col("key")).sortWithinPartitions("key", "doc")
-    return dealt.mapInArrow(common, "key long, doc long, center long")
+    return rows.repartition(F.col("key")).sortWithinPartitions("key", "doc").mapInArrow(common, "key long, doc long, center long")
+
+
+def rare(s: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The rarest shingles of a set by the counts, as many as a set that reaches the similarity may lack, and one more.
+
+    All sets are put in one order, so of two that reach the similarity, the common shingle that comes first is in both
+    parts: at least percent of either set is common, and none of that comes before it."""
+    order = np.lexsort((s, counts[s % np.uint64(RANKS)]))
+    return s[order[: len(s) + 1 - -(-percent * len(s) // 100)]]
+
+
+def rare_shingles(docs: DataFrame, wide: DataFrame, words: Callable, size: int, percent: int) -> DataFrame:
+    """key (a shingle) and doc, of the rarest shingles of the docs named by wide, by counts in RANKS bins of shingles."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(RANKS, np.int64)
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                found = np.concatenate([shingles(words(t), size) for t in b.column(1).slice(at, 256).to_pylist()])
+                n += np.bincount((found % np.uint64(RANKS)).astype(np.int64), minlength=RANKS)
+        (bins,) = np.nonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(bins), pa.array(n[bins])], names=["bin", "n"])
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                found = [rare(shingles(words(t), size), counts, percent).view(np.int64) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(np.repeat(part.column(0).to_numpy(), [len(x) for x in found]))], names=["key", "doc"])
+
+    named = maybe(docs.where("key IS NOT NULL"), wide)
+    bins = named.mapInArrow(count, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(RANKS, np.int64)
+    counts[bins.column("bin").to_numpy()] = bins.column("n").to_numpy()
+    return named.mapInArrow(emit, "key long, doc long")
 
 
 def close(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -231,14 +276,15 @@ def confirm(pairs: DataFrame, docs: DataFrame, words: Callable, size: int, perce
     return both.withColumn("i", share).where(F.expr(f"100 * i >= {percent} * (na + nb - i)")).select("a", "b")
 
 
-def mixed_keys(shared: DataFrame, labels: DataFrame, tile: int) -> tuple[DataFrame, DataFrame]:
+def mixed_keys(shared: DataFrame, labels: DataFrame, tile: int, keep: Callable = lambda df: df) -> tuple[DataFrame, DataFrame]:
     """The texts, with components, of the keys that hold several components; and of those keys with more than a tile of
-    texts: main, the component of most texts, how many are in it and how many are not."""
+    texts: main, the component of most texts, how many are in it and how many are not. keep may write the former, from
+    which the latter are made."""
     at = lambda c, to: labels.select(F.col("node").alias(c), F.col("component").alias(to))
     known = shared.join(at("doc", "c"), "doc", "left").withColumn("c", F.coalesce("c", "doc"))
     known = known.join(at("center", "cc"), "center", "left").withColumn("cc", F.coalesce("cc", "center"))
     mixed = known.groupBy("key").agg(F.count("*").alias("size"), F.max((F.col("c") != F.col("cc")).cast("int")).alias("mixed")).where("mixed = 1").select("key", "size")
-    rows = known.select("key", "doc", "c").join(mixed, "key")
+    rows = keep(known.select("key", "doc", "c").join(mixed, "key"))
     most = rows.where(F.col("size") > tile).groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key")
     large = most.agg(F.expr("max(struct(n, -c as c))").alias("top"), F.sum("n").alias("n")).select("key", (-F.col("top.c")).alias("main"), F.col("top.n").alias("inside"), (F.col("n") - F.col("top.n")).alias("others"))
     return rows, large
@@ -251,9 +297,9 @@ def second_stars(rows: DataFrame, large: DataFrame, tile: int) -> DataFrame:
     return out.join(first, "key").where("c <> first.ca").select("first.a", F.col("doc").alias("b")).distinct()
 
 
-def across(rows: DataFrame, large: DataFrame, reps: DataFrame, percent: int, tile: int = TILE) -> DataFrame:
+def across(rows: DataFrame, large: DataFrame, reps: DataFrame, percent: int, tile: int = TILE, signature_keys: bool = True) -> DataFrame:
     """Pairs within DISTANCE that share a key but no component yet and whose bound allows a match, with n of both. A pair
-    that shares several keys is met at the first of them only.
+    that shares several keys of signatures is met at the first of them only; other keys are no part of a signature.
 
     Keys up to a tile are one group. Of larger ones, tiles 0, 1, ... hold the texts outside main and the tiles behind them
     those of main; a group is two tiles, the first of which is one of the others'."""
@@ -266,7 +312,7 @@ def across(rows: DataFrame, large: DataFrame, reps: DataFrame, percent: int, til
     together = dealt.repartition(F.col("key"), F.col("i"), F.col("j")).sortWithinPartitions("key", "i", "j", "doc")
 
     def compare(own, doc, c, n, sig, bound: Prints, group: tuple) -> Iterator[pa.RecordBatch]:
-        slots = keys(sig)
+        slots = keys(sig) if signature_keys else None
         for at in range(len(doc) - 1):
             later = slice(at + 1, None)
             ok = (c[later] != c[at]) & may_match(n[later], n[at], percent)
@@ -274,7 +320,8 @@ def across(rows: DataFrame, large: DataFrame, reps: DataFrame, percent: int, til
                 ok &= own[later] != own[at]
             found = np.flatnonzero(ok) + at + 1
             found = found[close(sig[found], sig[at])]
-            found = found[slots[at][(slots[found] == slots[at]).argmax(axis=1)] == group[0]]
+            if signature_keys:
+                found = found[slots[at][(slots[found] == slots[at]).argmax(axis=1)] == group[0]]
             found = bound.allow(at, found)
             if len(found):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), doc[at])), pa.array(doc[found]), pa.array(np.full(len(found), n[at])), pa.array(n[found])], names=["a", "b", "na", "nb"])
@@ -300,7 +347,8 @@ def across(rows: DataFrame, large: DataFrame, reps: DataFrame, percent: int, til
                     held.append(b.slice(s, e - s))
         yield from done()
 
-    return together.mapInArrow(run, "a long, b long, na long, nb long")
+    out = together.mapInArrow(run, "a long, b long, na long, nb long")
+    return out if signature_keys else out.distinct()
 
 
 def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text", shingle_words: int = 5, percent: int = 80, words: Callable = ascii_words, tile: int = TILE) -> DataFrame:
@@ -322,16 +370,24 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     near = scratch.table(within(stars, stand, percent), "stars")
     links = scratch.table(confirm(near, own, words, shingle_words, percent), "star-links")
     labels = scratch.table(components(links, scratch, "first"), "labels")
-    for k in range(ROUNDS + 1):
-        rows, large = mixed_keys(shared, labels, tile)
-        large = scratch.table(large, f"large-{k}")
-        if k == ROUNDS or empty(large.where(F.col("others") > tile)):
-            break
-        near = scratch.table(within(second_stars(rows, large, tile), stand, percent), f"stars-{k}")
-        found = confirm(near, own, words, shingle_words, percent)
-        every_link = found.unionByName(labels.select(F.col("component").alias("a"), F.col("node").alias("b")))
-        labels = scratch.table(components(scratch.table(every_link, f"links-{k}"), scratch, f"round-{k}"), f"labels-{k}")
-    rest = scratch.table(across(rows, large, stand, percent, tile), "rest")
+    rows, large = mixed_keys(shared, labels, tile, lambda df: scratch.table(df, "mixed"))
+    large = scratch.table(large, "large")
+    wide = large.where(F.col("others") > tile)
+    if empty(wide):
+        rest = across(rows, large, stand, percent, tile)
+    else:
+        # a pair of a wide key is met by its shingles, so it may be passed over at the other keys it shares
+        rest = across(rows.join(wide, "key", "left_anti"), large, stand, percent, tile)
+        named = scratch.table(rows.join(wide, "key", "left_semi").select("doc").distinct(), "wide")
+        shared = scratch.table(several(rare_shingles(own, named, words, shingle_words, percent)), "rare")
+        rows, large = mixed_keys(shared, labels, min(tile, STAR), lambda df: scratch.table(df, "rare-mixed"))
+        near = scratch.table(within(second_stars(rows, large, min(tile, STAR)), stand, percent), "rare-stars")
+        if not empty(near):
+            every_link = confirm(near, own, words, shingle_words, percent).unionByName(labels.select(F.col("component").alias("a"), F.col("node").alias("b")))
+            labels = scratch.table(components(scratch.table(every_link, "rare-links"), scratch, "second"), "rare-labels")
+        rows, large = mixed_keys(shared, labels, tile, lambda df: scratch.table(df, "rare-rest"))
+        rest = rest.unionByName(across(rows, large, stand, percent, tile, signature_keys=False))
+    rest = scratch.table(rest, "rest")
     more = confirm(rest, own, words, shingle_words, percent)
     # copies of one set meet at their representative
     copies = every.join(reps.where("rep <> last").select("whole", "rep"), "whole").where("doc <> rep").select(F.col("rep").alias("a"), F.col("doc").alias("b"))

@@ -278,6 +278,45 @@ def test_second_stars_and_tiles_meet_every_pair(spark):
         same([(r.a, r.b) for r in neardup.across(rows, large, reps, 80, tile).collect()], want)
 
 
+def test_rare_shingles_of_linked_sets_meet():
+    rng = np.random.default_rng(9)
+    counts = rng.integers(0, 50, neardup.RANKS)
+    for n in (1, 2, 4, 5, 6, 9, 10, 33, 400):
+        for _ in range(40):
+            a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+            lost = rng.integers(0, n // 5 + 1)
+            b = np.unique(np.concatenate([a[lost:], rng.integers(0, 2**63, rng.integers(0, n // 5 - lost + 1), dtype=np.uint64)]))
+            common = len(np.intersect1d(a, b))
+            if 100 * common >= 80 * (len(a) + len(b) - common):
+                assert len(np.intersect1d(neardup.rare(a, counts, 80), neardup.rare(b, counts, 80)))
+    assert len(neardup.rare(np.arange(100, dtype=np.uint64), counts, 80)) == 21
+
+
+def test_texts_with_a_common_passage_are_dealt_by_rare_shingles(spark, monkeypatch):
+    """Keys with many times a tile of texts that stay apart: no further rounds over all texts, and few of them in a group."""
+    rng = random.Random(23)
+    passage = " ".join(f"c{k}" for k in range(60))
+    rows = [(k, f"{passage} {make(rng, 45, 10**6)}") for k in range(240)]
+    for k in range(0, 60, 3):  # some near copies among them, which only rare shingles tell from the rest
+        rows.append((1000 + k, f"{rows[k][1]} end{k}"))
+    rounds, groups = [], []
+    link, meet = neardup.components, neardup.across
+
+    def linked(links, scratch, label):
+        rounds.append(label)
+        return link(links, scratch, label)
+
+    def met(rows, *args, **options):
+        groups.extend(r["count"] for r in rows.groupBy("key").count().collect())
+        return meet(rows, *args, **options)
+
+    monkeypatch.setattr(neardup, "components", linked)
+    monkeypatch.setattr(neardup, "across", met)
+    got = neardup.near_duplicates(docs(spark, rows), shingle_words=2, tile=16)
+    same([tuple(r) for r in got.select("doc", "n_shingles", "component", "kept").collect()], brute_groups(rows))
+    assert len(rounds) <= 3 and groups and max(groups) <= 16
+
+
 def test_bound_of_prints_rules_no_link_out():
     rng = np.random.default_rng(4)
     sets = []
